@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import canonical, names, pivots
+from postloom.llm import boilerplate, canonical, names, pivots, residue
 from postloom.llm.aliases import ALIASES
 from postloom.llm.titles import title_parts
 from postloom.operators.lists import explode_packed
@@ -47,11 +47,21 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.join(mapped, ["kind", "value"], "left").select("row_id", "field_name", "pos", F.coalesce("term_id", F.lit(canonical.UNMATCHED)).cast("long").alias("term_id"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of upload_rows.description that are page furniture."""
+    return boilerplate.furniture(read_table(spark, sf_dir, "upload_rows"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of upload_rows with residue, filler, error or script messages."""
+    return residue.residue(read_table(spark, sf_dir, "upload_rows"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of spellings of upload_rows.company that name one organisation."""
     rows = read_table(spark, sf_dir, "upload_rows")
     return names.name_pairs(names.link_names(rows.select(F.col("company").alias("name"))))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p6_found": p6_found}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found}
 SQL: dict[str, str] = {}
