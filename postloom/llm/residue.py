@@ -29,12 +29,14 @@ from postloom.llm.boilerplate import plain
 #: Bounds of the sample on which the model is fitted.
 TRUSTED_ROWS = 4000
 UNLABELLED_ROWS = 6000
-ROUNDS = 8
+ROUNDS = 5
 #: Odds from which an unlabelled passage counts for the positive class in the next round.
-CONFIDENT = 0.95
+CONFIDENT = 0.99
+#: Passages of the common rate that each class is mixed with when it is counted.
+PULL = 20
 #: A feature must occur in so many passages of the sample to count.
 MIN_PASSAGES = 3
-SMOOTHING = 0.1
+SMOOTHING = 0.5
 #: Weights between 0 and this are dropped: residue has to show in clear signs.
 LEAST_WEIGHT = 0.3
 #: Odds (log) from which a passage is residue.
@@ -46,7 +48,7 @@ SLOT = re.compile(
 )
 # Signs of residue that nothing else shows; the trusted positives.
 TRUSTED = (
-    r"\{\{|\{%|\{\w+\}|\$\{|<%=|@@\w|__[A-Za-z_]+__|\[\[|%[A-Z_]{3,}%|\[object Object\]|#[A-Z_]{3,}#|<INSERT|\[insert|\[add "
+    r"\{\{|\{%|\{\w+\}|\$\{|<%=|@@\w|__[A-Za-z_]+__|\[\[|%[A-Za-z]\w*%|\$[A-Za-z]\w*\$|~[A-Za-z]\w*~|\[object Object\]|#[A-Z_]{3,}#|<INSERT|\[insert|\[add "
     r"|\[(?:Company|Candidate|Client|Job|Role|Position|Level|Team|City|Location|Nom|Firmenname|Empresa|Puesto)\b|\[intitulé|<Enter "
     r"|(?i:\blorem\b|\bipsum\b|\bdolor sit\b|\bdolum amet\b|\bamet sepir\b)|\bXXX\b|\bTODO\b|\bundefined\b|(?i:^job title goes here|your text goes here|replace this paragraph|delete before publishing|do not publish|^untitled posting|sample job)"
     r"|(?i:enable javascript|activer javascript|activa javascript|aktivieren sie javascript|needs scripts|js support)"
@@ -122,7 +124,8 @@ class Model:
         return (self.slot_prior if slot else self.text_prior) + sum(get(f, 0.0) for f in features(passage, slot))
 
     def flags(self, line: str) -> bool:
-        return any(self.odds(p, s) > THRESHOLD for p, s in passages(line))
+        """Whether a passage of the line is residue; trusted passages keep their label."""
+        return any(self.odds(p, s) > THRESHOLD or TRUSTED_PATTERN.search(p) for p, s in passages(line))
 
 
 def _bound(feature: str) -> float:
@@ -157,9 +160,11 @@ def _learn(positive: Counter[str], unlabelled: Counter[str], slot: bool) -> tupl
     for _ in range(ROUNDS):
         sure = np.where(belief >= CONFIDENT, belief, 0.0)
         pos, neg = weight * sure, weight * (1 - belief)
-        cp = np.bincount(what, pos[which], len(index)) + SMOOTHING
-        cn = np.bincount(what, neg[which], len(index)) + SMOOTHING
-        beta = np.clip(np.log(cp / (pos.sum() + 2 * SMOOTHING)) - np.log(cn / (neg.sum() + 2 * SMOOTHING)), -bound, bound)
+        cp, cn = np.bincount(what, pos[which], len(index)), np.bincount(what, neg[which], len(index))
+        # both rates are drawn towards the common one, so a few chance meetings weigh little
+        common = (cp + cn + SMOOTHING) / (pos.sum() + neg.sum() + 1)
+        beta = np.log((cp + PULL * common) / (pos.sum() + PULL)) - np.log((cn + PULL * common) / (neg.sum() + PULL))
+        beta = np.clip(np.where((beta > 0) & (cp < MIN_PASSAGES), 0.0, beta), -bound, bound)
         score = prior + np.bincount(which, beta[what], len(items))
         belief = np.where(trusted, 1.0, 1 / (1 + np.exp(-np.clip(score, -30, 30))))
     names = list(index)
