@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import boilerplate, canonical, names, pivots, residue
+from postloom.llm import boilerplate, canonical, encode, mix, mojibake, names, pivots, residue
 from postloom.llm.aliases import ALIASES
 from postloom.llm.titles import title_parts
 from postloom.operators.lists import explode_packed
@@ -63,5 +63,46 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.name_pairs(names.link_names(rows.select(F.col("company").alias("name"))))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found}
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every documents.text by byte_bpe_50k, without special tokens."""
+    return encode.encoded(read_table(spark, sf_dir, "documents"))
+
+
+def _mixes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", encode.token_count(F.col("text")).alias("n_tokens"))
+    return mix.mixes(docs, read_table(spark, sf_dir, "mix_targets"))
+
+
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of documents that make up each mix of mix_targets."""
+    return _mixes(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares reached beside the targets, for each mix and source."""
+    return _mixes(spark, sf_dir)[1]
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text was, wholly or in part, read in a wrong encoding."""
+    return mojibake.restored(read_table(spark, sf_dir, "documents")).filter("damaged").select("doc_id")
+
+
+def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with its garbled lines restored where they can be."""
+    return mojibake.restored(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p5_found": p5_found,
+    "p6_found": p6_found,
+    "p7_ids": p7_ids,
+    "p8_mix": p8_mix,
+    "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_restored": p9_restored,
+}
 SQL: dict[str, str] = {}
