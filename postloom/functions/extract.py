@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postloom.functions import vocab
 from postloom.functions.predicates import plausible_place
 from postloom.functions.text import collapse, trim
+from postloom.functions.urls import let
 from postloom.functions.vocab import CLOSE, OPEN, words
 
 MONEY = r"([0-9]{2,3}(?:,[0-9]{3})*(?:\.[0-9]+)?[kKmM]?)"
@@ -134,38 +135,66 @@ def location(raw: Column) -> Column:
     states and provinces imply their country; country codes are spelled out.
     """
     codes = F.create_map(*[F.lit(x) for pair in vocab.COUNTRIES.items() for x in pair])
-    text = collapse(raw)
-    region = F.upper(F.regexp_extract(text, rf"(?i)remote\s*[-:,]?\s*({'|'.join(vocab.REMOTE_REGIONS)})", 1))
+    blank = F.lit("")
 
     def made(name: Column, address: Column, city: Column, state: Column, country: Column) -> Column:
         return F.struct(name.alias("name"), address.alias("address"), city.alias("city"), state.alias("state"), country.alias("country"))
 
-    remote = made(
-        F.when(region != "", F.concat(F.lit("Remote ("), region, F.lit(")"))).otherwise("Remote"),
-        F.when(region != "", F.concat(F.lit("Remote - "), region)).otherwise("Remote"),
-        F.lit("Remote"), region, F.when(region.isin("US", "USA"), "United States").otherwise(""),
-    )
-    candidate = F.coalesce(F.get(F.filter(F.transform(F.split(text, r"\s*[;|•]\s*"), trim), lambda p: (p != "") & plausible_place(p)), F.lit(0)), text)
-    comma = trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(candidate, "[|•]", ","), r"\s+-\s+|\s*/\s*", ","), ",+", ","))
-    chunks = F.filter(F.transform(F.split(comma, ","), trim), lambda p: p != "")
-    n = F.size(chunks)
-    one, two, three = (F.coalesce(F.get(chunks, F.lit(k)), F.lit("")) for k in range(3))
-    up = F.upper(two)
-    pair = n == 2
-    us, ca, code = pair & _in(vocab.US_STATES, up), pair & _in(vocab.CA_PROVINCES, up), pair & (F.length(up) <= 3) & F.try_element_at(codes, up).isNotNull()
-    state = F.when(us | ca, up).when(code | (pair & (F.length(two) > 3)), "").otherwise(two)
-    country = F.when(us, "United States").when(ca, "Canada").when(code, F.try_element_at(codes, up)).when(pair & (F.length(two) > 3), two).otherwise(three)
-    tail = F.regexp_extract(one, r"^(.+?)\s+([A-Za-z]{2,3})$", 2)
-    has_tail = (state == "") & (tail != "")
-    tail_up = F.upper(tail)
-    city2 = F.when(has_tail, trim(F.regexp_extract(one, r"^(.+?)\s+([A-Za-z]{2,3})$", 1))).otherwise(one)
-    tail_us, tail_ca = has_tail & _in(vocab.US_STATES, tail_up), has_tail & _in(vocab.CA_PROVINCES, tail_up)
-    state2 = F.when(tail_us | tail_ca, tail_up).otherwise(state)
-    country2 = F.when(tail_us, "United States").when(tail_ca, "Canada").when(has_tail, F.coalesce(F.try_element_at(codes, tail_up), tail_up)).otherwise(country)
-    country3 = F.when((country2 != "") & (F.length(country2) <= 3), F.coalesce(F.try_element_at(codes, F.upper(trim(country2))), country2)).otherwise(country2)
-    joined = F.array_join(F.filter(F.array(city2, state2, country3), lambda x: x != ""), ", ")
-    name = F.array_join(F.filter(F.array(city2, F.when(state2 != "", state2).otherwise(country3)), lambda x: x != ""), ", ")
-    parsed = made(name, candidate, city2, state2, country3)
-    whole = made(candidate, candidate, candidate, F.lit(""), F.lit(""))
-    says = F.coalesce((text != "") & ~F.lower(text).isin("not specified", "n/a", "na"), F.lit(False))
-    return F.when(says & text.rlike(words(["remote"])), remote).when(says & plausible_place(candidate), F.when((n > 0) & plausible_place(joined), parsed).otherwise(whole))
+    def filled(*parts: Column) -> Column:
+        return F.array_join(F.filter(F.array(*parts), lambda x: x != ""), ", ")
+
+    def remote(text: Column) -> Column:
+        def of(region: Column) -> Column:
+            return made(
+                F.when(region != "", F.concat(F.lit("Remote ("), region, F.lit(")"))).otherwise("Remote"),
+                F.when(region != "", F.concat(F.lit("Remote - "), region)).otherwise("Remote"),
+                F.lit("Remote"), region, F.when(region.isin("US", "USA"), "United States").otherwise(""),
+            )
+
+        return let(F.upper(F.regexp_extract(text, rf"(?i)remote\s*[-:,]?\s*({'|'.join(vocab.REMOTE_REGIONS)})", 1)), of)
+
+    def finished(candidate: Column, city: Column, state: Column, country: Column) -> Column:
+        def spelled(land: Column) -> Column:
+            parsed = made(filled(city, F.when(state != "", state).otherwise(land)), candidate, city, state, land)
+            whole = made(candidate, candidate, candidate, blank, blank)
+            return F.when(plausible_place(filled(city, state, land)), parsed).otherwise(whole)
+
+        return let(F.when((country != "") & (F.length(country) <= 3), F.coalesce(F.try_element_at(codes, F.upper(trim(country))), country)).otherwise(country), spelled)
+
+    def with_tail(candidate: Column, one: Column, state: Column, country: Column) -> Column:
+        """A state or country code at the end of the city, where no state is given."""
+
+        def of(tail: Column) -> Column:
+            has = (state == "") & (tail != "")
+            us, ca = has & _in(vocab.US_STATES, tail), has & _in(vocab.CA_PROVINCES, tail)
+            city = F.when(has, trim(F.regexp_extract(one, r"^(.+?)\s+([A-Za-z]{2,3})$", 1))).otherwise(one)
+            land = F.when(us, "United States").when(ca, "Canada").when(has, F.coalesce(F.try_element_at(codes, tail), tail)).otherwise(country)
+            return let(F.struct(city.alias("c"), F.when(us | ca, tail).otherwise(state).alias("s"), land.alias("l")), lambda p: finished(candidate, p["c"], p["s"], p["l"]))
+
+        return let(F.upper(F.regexp_extract(one, r"^(.+?)\s+([A-Za-z]{2,3})$", 2)), of)
+
+    def from_chunks(candidate: Column, chunks: Column) -> Column:
+        def of(p: Column) -> Column:
+            pair, up = p["n"] == 2, p["up"]
+            us, ca = pair & _in(vocab.US_STATES, up), pair & _in(vocab.CA_PROVINCES, up)
+            code = pair & (F.length(up) <= 3) & F.try_element_at(codes, up).isNotNull()
+            long = pair & (F.length(p["two"]) > 3)
+            state = F.when(us | ca, up).when(code | long, "").otherwise(p["two"])
+            country = F.when(us, "United States").when(ca, "Canada").when(code, F.try_element_at(codes, up)).when(long, p["two"]).otherwise(p["three"])
+            return let(F.struct(state.alias("s"), country.alias("l")), lambda x: with_tail(candidate, p["one"], x["s"], x["l"]))
+
+        at = lambda k: F.coalesce(F.get(chunks, F.lit(k)), blank)
+        return let(F.struct(F.size(chunks).alias("n"), at(0).alias("one"), at(1).alias("two"), F.upper(at(1)).alias("up"), at(2).alias("three")), of)
+
+    def placed(candidate: Column) -> Column:
+        comma = trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(candidate, "[|•]", ","), r"\s+-\s+|\s*/\s*", ","), ",+", ","))
+        chunks = F.filter(F.transform(F.split(comma, ","), trim), lambda p: p != "")
+        whole = made(candidate, candidate, candidate, blank, blank)
+        return F.when(plausible_place(candidate), let(chunks, lambda c: F.when(F.size(c) > 0, from_chunks(candidate, c)).otherwise(whole)))
+
+    def read(text: Column) -> Column:
+        says = (text != "") & ~F.lower(text).isin("not specified", "n/a", "na")
+        first = F.get(F.filter(F.transform(F.split(text, r"\s*[;|•]\s*"), trim), lambda p: (p != "") & plausible_place(p)), F.lit(0))
+        return F.when(says & text.rlike(words(["remote"])), remote(text)).when(says, let(F.coalesce(first, text), placed))
+
+    return let(collapse(raw), read)

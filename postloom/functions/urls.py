@@ -6,6 +6,8 @@ has null parts, never an error.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +30,11 @@ BOARD_DOMAINS = (
 ).split()
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _part(col: Column, group: int) -> Column:
     return F.regexp_extract(trim(col), ABSOLUTE, group)
 
@@ -84,9 +91,9 @@ def dedup_key(col: Column) -> Column:
 
 
 def loose_key(col: Column) -> Column:
-    """For joins across tables: no scheme, ``www.``, query, fragment or closing slash."""
+    """For joins across tables: without scheme, ``www.`` and closing slash."""
     bare = F.regexp_replace(F.regexp_replace(F.lower(trim(col)), r"^[a-z][a-z0-9+.\-]*://", ""), r"^www\.", "")
-    return F.regexp_replace(F.regexp_replace(bare, r"[?#].*$", ""), "/+$", "")
+    return F.regexp_replace(bare, "/+$", "")
 
 
 def bare_host(col: Column) -> Column:
@@ -143,12 +150,18 @@ def title_from_slug(col: Column) -> Column:
 
 def absolute(col: Column, base: Column) -> Column:
     """An address resolved against the page it stood on; null where the page is none."""
-    link = trim(col)
-    folder = F.regexp_replace(F.concat(_origin(base), path(base)), "[^/]*$", "")
-    resolved = F.when(link.startswith("//"), F.concat(scheme(base), F.lit(":"), link)).when(link.startswith("/"), F.concat(_origin(base), link)).when(
-        link.rlike("^[?]"), F.concat(_origin(base), path(base), link)
-    ).otherwise(F.concat(folder, F.replace(link, F.lit(" "), F.lit("%20"))))
-    return F.when(is_url(link), link).when(is_url(base) & (link != ""), resolved)
+
+    def resolved(link: Column, page: Column) -> Column:
+        home, folder = _origin(page), F.regexp_replace(F.concat(_origin(page), path(page)), "[^/]*$", "")
+        inside = (
+            F.when(link.startswith("//"), F.concat(scheme(page), F.lit(":"), link))
+            .when(link.startswith("/"), F.concat(home, link))
+            .when(link.startswith("?"), F.concat(home, path(page), link))
+            .otherwise(F.concat(folder, F.replace(link, F.lit(" "), F.lit("%20"))))
+        )
+        return F.when(is_url(link), link).when(is_url(page) & (link != ""), inside)
+
+    return let(trim(col), lambda link: let(base, lambda page: resolved(link, page)))
 
 
 def company_from_host(col: Column) -> Column:
