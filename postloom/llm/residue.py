@@ -8,8 +8,9 @@ unlabelled passages' current odds.  The fitted weights score every passage of
 every record, and a record is reported when one of its passages is more likely
 residue than content.
 
-Only the fit uses a sample, of at most ``TRUSTED_ROWS`` records with trusted
-patterns and ``UNLABELLED_ROWS`` others, taken by hash over the whole table.
+Only the fit uses a sample, of about ``SAMPLE_ROWS`` records taken by hash over
+the whole table: all those with trusted patterns, and ``UNLABELLED_ROWS`` of
+the others.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 
 from postloom.llm.boilerplate import plain
 
-#: Bounds of the sample on which the model is fitted.
-TRUSTED_ROWS = 4000
+#: Bounds of the sample on which the model is fitted: rows that are looked
+#: through for trusted patterns, and rows of them that count as unlabelled.
+SAMPLE_ROWS = 24_000
 UNLABELLED_ROWS = 6000
 ROUNDS = 5
 #: Odds from which an unlabelled passage counts for the positive class in the next round.
@@ -57,10 +59,17 @@ TRUSTED = (
     r"|(?i:you are not a robot|checking your browser|session has expired|sitzung abgelaufen|resource has been blocked|page not found|seite nicht gefunden|page introuvable|página no encontrada|something went wrong|no longer here)"
 )
 TRUSTED_PATTERN = re.compile(TRUSTED)
+# Words without which no trusted pattern matches outside brackets.
+TRIGGERS = frozenset(
+    ("#code #hex lorem ipsum dolor dolum amet xxx todo undefined goes replace delete publish untitled sample javascript scripts js http error status ray oops gateway upstream typeerror template "
+     "unavailable internal requests denied robot checking expired abgelaufen blocked found gefunden introuvable encontrada wrong longer service").split()
+)
+SLOT_SIGN = re.compile(r"[{\[<@_%#~«$]")
 SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 #: The customary note on gender, no word of its own.
 GENDER = re.compile(r"\(\s*[mfwdhx](?:\s*/\s*[mfwdhx])+\s*\)", re.I)
 WORD = re.compile(r"[^\W_]+|[^\w\s]")
+HEX = re.compile(r"(?=.*[0-9])[0-9a-f]+")
 
 
 def slot_features(slot: str) -> list[str]:
@@ -74,21 +83,20 @@ def slot_features(slot: str) -> list[str]:
 
 def word_features(text: str) -> list[str]:
     """Words and pairs of neighbouring words; numbers by their kind."""
-    words = []
-    for w in WORD.findall(GENDER.sub(" ", text)):
-        low = w.lower()
-        if low.isdigit():
-            low = "#code" if len(low) == 3 and low[0] in "45" else "#"
-        elif len(low) >= 8 and re.fullmatch(r"[0-9a-f]+", low) and re.search(r"\d", low):
-            low = "#hex"
-        words.append(low)
+    words = WORD.findall((GENDER.sub(" ", text) if "/" in text else text).lower())
+    for i, low in enumerate(words):
+        if low[0] <= "9" and low[0] >= "0" or len(low) >= 8:
+            if low.isdigit():
+                words[i] = "#code" if len(low) == 3 and low[0] in "45" else "#"
+            elif len(low) >= 8 and HEX.fullmatch(low):
+                words[i] = "#hex"
     return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
 
 
 def passages(text: str) -> Iterable[tuple[str, bool]]:
     """A line's passages: each slot, and each sentence of the text around them."""
     rest = text
-    if any(c in text for c in "{[<@_%#~«$"):
+    if SLOT_SIGN.search(text):
         slots = SLOT.findall(text)
         if slots:
             for slot in slots:
@@ -123,9 +131,23 @@ class Model:
         get = self.weights.get
         return (self.slot_prior if slot else self.text_prior) + sum(get(f, 0.0) for f in features(passage, slot))
 
+    def residue(self, passage: str, slot: bool) -> bool:
+        """Whether a passage is residue; trusted passages keep their label.
+
+        The trusted patterns are tried only where one of their words (or a
+        bracket) stands, for nothing else can match.
+        """
+        if slot:
+            return self.odds(passage, True) > THRESHOLD or bool(TRUSTED_PATTERN.search(passage))
+        found = set(word_features(passage))
+        get = self.weights.get
+        if self.text_prior + sum([get(f, 0.0) for f in found]) > THRESHOLD:
+            return True
+        return not TRIGGERS.isdisjoint(found) and bool(TRUSTED_PATTERN.search(passage))
+
     def flags(self, line: str) -> bool:
-        """Whether a passage of the line is residue; trusted passages keep their label."""
-        return any(self.odds(p, s) > THRESHOLD or TRUSTED_PATTERN.search(p) for p, s in passages(line))
+        """Whether a passage of the line is residue."""
+        return any(self.residue(p, s) for p, s in passages(line))
 
 
 def _bound(feature: str) -> float:
@@ -189,12 +211,27 @@ def fit(trusted_lines: Iterable[str], unlabelled_lines: Iterable[str]) -> Model:
 
 
 def fit_sample(rows: DataFrame) -> tuple[list[str], list[str]]:
-    """Lines of the bounded sample (trusted, unlabelled), the same for the same table."""
+    """Lines of the bounded sample (trusted, unlabelled), the same for the same table.
+
+    A hash of the row's number decides, against the table's count, so nothing
+    is sorted and the work after the scan is the same at every size.
+    """
     text = rows.select("row_id", "title", "description")
-    joined = F.concat_ws("\n", "title", "description")
-    trusted = text.filter(joined.rlike("(?m)" + TRUSTED)).orderBy(F.xxhash64("row_id"), "row_id").limit(TRUSTED_ROWS)
-    other = text.orderBy(F.xxhash64("row_id", F.lit("u")), "row_id").limit(UNLABELLED_ROWS)
-    return tuple([line for r in part.toLocalIterator() for line in record_lines(r.title, r.description)] for part in (trusted, other))
+    count = max(1, rows.count())
+    spot = F.pmod(F.xxhash64("row_id"), F.lit(1_000_003)) / 1_000_003.0
+    taken = text.withColumn("spot", spot).filter(F.col("spot") < SAMPLE_ROWS / count)
+    other = F.col("spot") < UNLABELLED_ROWS / count
+    trusted = F.coalesce(F.concat_ws("\n", "title", "description").rlike("(?m)" + TRUSTED), F.lit(False))
+    kept = taken.select("title", "description", other.alias("other"), trusted.alias("trusted")).filter("other or trusted").limit(2 * SAMPLE_ROWS)
+    positive: list[str] = []
+    unlabelled: list[str] = []
+    for r in kept.toLocalIterator():
+        lines = list(record_lines(r.title, r.description))
+        if r.trusted:
+            positive += lines
+        if r.other:
+            unlabelled += lines
+    return positive, unlabelled
 
 
 def residue(rows: DataFrame, model: Model | None = None) -> DataFrame:
@@ -212,12 +249,15 @@ def residue(rows: DataFrame, model: Model | None = None) -> DataFrame:
         for pdf in batches:
             hits = []
             for key, title, description in zip(pdf["row_id"], pdf["title"], pdf["description"]):
-                for line in record_lines(title, description):
-                    flag = cache.get(line)
+                lines = [title] if title else []
+                if description:
+                    lines += description.split("\n")
+                for raw in lines:
+                    flag = cache.get(raw)
                     if flag is None:
                         if len(cache) > 200_000:
                             cache.clear()
-                        flag = cache[line] = judge.flags(line)
+                        flag = cache[raw] = judge.flags(plain(raw))
                     if flag:
                         hits.append(key)
                         break
