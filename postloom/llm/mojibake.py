@@ -13,6 +13,7 @@ texts of each language, by hash) of texts without signs of damage.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,17 +22,26 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 LANGUAGES = ("en", "de", "fr", "es", "pt", "pl", "ru", "ja")
 LATIN = ("en", "de", "fr", "es", "pt", "pl")
-#: Texts of each language from which a dictionary is trained at most.
+#: Texts that are looked through for the dictionaries, and texts of each
+#: language from which one is trained at most.
+SAMPLE_TEXTS = 24_000
 SAMPLE_PER_LANGUAGE = 800
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 17
 #: Description length, in bytes, of one step to UTF-8 and of one step between other encodings.
 UTF8_COST = 1.0
 OTHER_COST = 6.0
+#: Bytes that a capital inside a word costs, which no sound text has.
+ODD_VALUE = 2.0
 MAX_STEPS = 3
+#: Bytes a character up to which a line is at home in its declared language; others are measured by all.
+FAMILIAR = 0.4
+#: Misread multi-byte text has at least one in so many characters beyond ASCII.
+WIDE_SHARE = 6
 #: Bytes that no compressed line falls below.
 SHORTEST = 9
 
@@ -133,20 +143,31 @@ def as_wide(line: str, read_as: str, really: str) -> str:
 #: What decoded text may hold beyond ASCII: Latin, Cyrillic, Japanese, marks, symbols.
 FOREIGN = re.compile("[^\x00-ɏʹ-ͯЀ-ӿ\u2000-\u2bff\u3000-鿿︀-️＀-￯\U0001f000-\U0001faff]")
 #: Scripts run together within one word.
-MIXED = re.compile("[A-Za-zÀ-ɏ][Ѐ-ӿ]|[Ѐ-ӿ][A-Za-zÀ-ɏ]|[Ѐ-ӿ][぀-鿿]|[぀-鿿][Ѐ-ӿ]")
+MIXED = re.compile("[A-Za-zÀ-ɏ][Ѐ-ӿ]|[Ѐ-ӿ][A-Za-zÀ-ɏ]|[Ѐ-ӿ][぀-鿿]|[぀-鿿][Ѐ-ӿ]|[0-9][Ѐ-ӿ][0-9]")
+#: A capital beyond ASCII inside a word of small letters.
+ODD_CASE = re.compile("[a-zà-öø-ÿ][À-ÖØ-Þ]|[а-яё][А-ЯЁ]")
 CONTROL = re.compile("[\x7f-\x9f]")
 
 
+CYRILLIC = re.compile("[Ѐ-ӿ]")
+EAST = re.compile("[぀-ヿ一-鿿＀-￯]")
+#: A script that a decoding brings must come as a word.
+NEW_SCRIPTS = ((CYRILLIC, re.compile("[Ѐ-ӿ]{3}")), (EAST, re.compile("[぀-鿿＀-￯]{2}")))
+
+
 def plausible(old: str, new: str, utf8: bool) -> bool:
     """Whether a decoding brings no script and no control sign that no text has.
 
-    Outside UTF-8 a misread sign must become part of a word, and a letter may
-    turn into punctuation only where punctuation stands.
+    Outside UTF-8 a misread sign must become part of a word, no capital may
+    appear within one, and a letter may turn into punctuation only where
+    punctuation stands.
     """
     if FOREIGN.search(new) and not FOREIGN.search(old):
         return False
     if len(MIXED.findall(new)) > len(MIXED.findall(old)):
         return False
+    if any(script.search(new) and not script.search(old) and not word.search(new) for script, word in NEW_SCRIPTS):
+        return False
     if utf8:
         return True
     if len(CONTROL.findall(new)) > len(CONTROL.findall(old)):
@@ -155,6 +176,8 @@ def plausible(old: str, new: str, utf8: bool) -> bool:
         return True
     changed = [i for i, (a, b) in enumerate(zip(old, new)) if a != b]
     for i in changed:
+        if new[i].isupper() and i and new[i - 1].islower():
+            return False
         inside = new[i - 1 : i].isalpha() and new[i + 1 : i + 2].isalpha()
         if old[i].isalpha() and not new[i].isalpha() and new[i] != "’" and (inside or new[i] not in "‘“”–—…•€"):
             return False
@@ -170,22 +193,21 @@ def candidates(line: str, room: float = float("inf")) -> Iterator[tuple[str, str
         new = as_utf8(line, codec)
         if new != line and plausible(line, new, True):
             yield f"{codec}>utf_8", new, UTF8_COST
-    if room <= OTHER_COST:
+    if room <= OTHER_COST and not ODD_CASE.search(line):
         return
     for read_as, really in OTHER_PAIRS:
         new = line.translate(single_table(read_as, really))
         if new != line and plausible(line, new, False):
-            yield f"{read_as}>{really}", new, OTHER_COST
+            mended = len(ODD_CASE.findall(line)) - len(ODD_CASE.findall(new))
+            yield f"{read_as}>{really}", new, max(UTF8_COST, OTHER_COST - ODD_VALUE * mended)
+    if sum(map(len, HIGH.findall(line))) * WIDE_SHARE < len(line):
+        return
     for read_as, really in WIDE_PAIRS:
         new = as_wide(line, read_as, really)
         if new != line and plausible(line, new, False):
             yield f"{read_as}>{really}", new, OTHER_COST
 
 
-CYRILLIC = re.compile("[Ѐ-ӿ]")
-EAST = re.compile("[぀-ヿ一-鿿＀-￯]")
-
-
 class Judge:
     """Description lengths by the dictionaries of the languages."""
 
@@ -245,8 +267,11 @@ def restore_line(line: str, lang: str | None, judge: Judge) -> tuple[str, str]:
     if line.isascii():
         return line, ""
     current, steps = line, []
-    length, home = judge.length(line)
-    langs = tuple(x for x in (home, lang) if x)
+    langs = (lang, "en") if lang else ()
+    length = judge.candidate_length(line, langs) if lang else math.inf
+    if length > FAMILIAR * len(line):
+        length, home = judge.length(line)
+        langs = (home, *langs)
     while len(steps) < MAX_STEPS and not current.isascii():
         options = [([step], new, cost) for step, new, cost in candidates(current, length - SHORTEST)]
         options += [([*first, step], new, cost + more) for first, mid, cost in options if first[0].endswith(">utf_8") for step, new, more in candidates(mid) if step.endswith(">utf_8")]
@@ -303,13 +328,20 @@ def train(samples: dict[str, list[str]]) -> dict[str, bytes]:
 
 
 def sample_texts(docs: DataFrame) -> dict[str, list[str]]:
-    """Bounded sample of texts without signs of damage, by language."""
+    """Bounded sample of texts without signs of damage, by language.
+
+    A hash of the document's number decides, against the table's count, so the
+    costly look for damage meets about ``SAMPLE_TEXTS`` texts at every size.
+    """
+    count = max(1, docs.count())
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
     tag = F.lower(F.regexp_extract("lang", "^\\s*([A-Za-z]{2})(?:[-_].*)?$", 1))
-    sound = docs.select(tag.alias("tag"), "text", "doc_id").filter(F.col("tag").isin(*LANGUAGES) & (F.length("text") > 20) & (F.length("text") < 4000) & ~F.col("text").rlike(DAMAGE.pattern))
-    out: dict[str, list[str]] = {}
-    for lang in LANGUAGES:
-        taken = sound.filter(F.col("tag") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_LANGUAGE).select("text")
-        out[lang] = [r.text for r in taken.toLocalIterator()]
+    taken = docs.filter(spot < SAMPLE_TEXTS / count).select(tag.alias("tag"), "text", spot.alias("spot"))
+    sound = taken.filter(F.col("tag").isin(*LANGUAGES) & (F.length("text") > 20) & (F.length("text") < 4000) & ~F.col("text").rlike(DAMAGE.pattern))
+    ranked = sound.withColumn("nth", F.row_number().over(W.partitionBy("tag").orderBy("spot", "text"))).filter(F.col("nth") <= SAMPLE_PER_LANGUAGE)
+    out: dict[str, list[str]] = {lang: [] for lang in LANGUAGES}
+    for r in ranked.select("tag", "text").toLocalIterator():
+        out[r.tag].append(r.text)
     return out
 
 
