@@ -741,3 +741,13 @@ def first_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A number out of a JSON field."""
     return read_table(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
+
+
+@query()
+def pipeline_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole path over the scraped rows: described, distinct postings of the trade."""
+    from postloom.plans import pipeline
+
+    raw = read_table(spark, sf_dir, "raw_jobs").select(F.col("raw_id").alias("row_id"), "title", "url", F.col("location_text").alias("location"), "company", "ats", "source_url", "description", "date_posted").distinct()
+    out = pipeline.run(raw)
+    return out.select("row_id", "title", "url", "company", "place.city", "place.country", "job_type", "work_type", "score", "keywords", "posted")
