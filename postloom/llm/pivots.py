@@ -20,12 +20,12 @@ appended; older points are never measured again.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from typing import NamedTuple
 from urllib.parse import parse_qsl, unquote
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -128,24 +128,52 @@ def near_pairs(new: DataFrame, table: DataFrame, radius: int = RADIUS) -> DataFr
     return met.mapInPandas(exact, "a string, b string")
 
 
-def wording_classes(points: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """(point, class) for distinct wording points: near wordings share a class.
+class Accepted(NamedTuple):
+    """What is kept of the accepted rows: the pivot-distance table and the postings.
 
-    ``known`` holds points already classed; new ones are measured against them
-    and each other only.
+    ``points``: point, space, text, d (distances to the pivots), class;
+    ``links``: link, class, first; ``counts``: class, host, links (how many links
+    of a host a class has); ``heads``: class, nth, first.  All four are compact
+    and only ever appended to; ``first`` is the ord of a posting's first row.
     """
-    new = with_pivots(points)
-    table = new if known is None else new.unionByName(known)
-    linked = connected_components(near_pairs(new, table))
-    return points.select("point").join(linked.withColumnRenamed("node", "point"), "point", "left").select("point", F.coalesce("component", "point").alias("class"))
 
+    points: DataFrame
+    links: DataFrame
+    counts: DataFrame
+    heads: DataFrame
 
-def postings(rows: DataFrame) -> DataFrame:
-    """Rows with the first row of the posting that each announces.
+    def save(self, folder: str) -> None:
+        for name, df in self._asdict().items():
+            df.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str) -> Accepted:
+        return cls(*[spark.read.parquet(f"{folder}/{name}") for name in cls._fields])
+
+
+def wording_classes(new: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``new`` points (with ``d``) and their class: near wordings share one.
+
+    New points are measured against the known ones and each other, known ones
+    never again.  A group of new points joins the smallest class that one of
+    them is near to; known classes do not merge.
+    """
+    linked = connected_components(near_pairs(new, new))
+    grouped = new.join(linked.withColumnRenamed("node", "point"), "point", "left").withColumn("class", F.coalesce("component", "point")).drop("component")
+    if known is None:
+        return grouped
+    near = near_pairs(new, known).join(known.select(F.col("point").alias("a"), F.col("class").alias("known")), "a").groupBy(F.col("b").alias("point")).agg(F.min("known").alias("known"))
+    home = grouped.join(near, "point").groupBy("class").agg(F.min("known").alias("known"))
+    return grouped.join(home, "class", "left").withColumn("class", F.coalesce("known", "class")).drop("known")
+
+
+def accept(rows: DataFrame, before: Accepted | None = None) -> tuple[DataFrame, Accepted]:
+    """(ord, first) of the rows, and what is accepted after them.
 
     ``rows``: ord (sortable, unique), host, tenant, code (null without link),
-    space, text (null where the wording says too little).  Adds ``first``, the
-    ``ord`` of the posting's first row.
+    space, text (null where the wording says too little).  ``first`` is the ord
+    of the first row of the posting that the row announces.  Rows of several
+    batches may come at once; ord decides which was first.
 
     Rows of one link are one posting.  Postings meet by wording only where
     their links cannot be compared: of the links of one host within a wording
@@ -158,24 +186,41 @@ def postings(rows: DataFrame) -> DataFrame:
         .withColumn("point", F.when(F.col("space").isNotNull(), F.concat_ws("\x1e", "space", "text")))
         .select("ord", "host", "link", "point", "space", "text")
     )
-    classes = wording_classes(rows.filter("point is not null").select("point", "space", "text").distinct())
-    worded = rows.filter("point is not null").select("ord", "link", "host", "point")
-    by_link = rows.filter("link is not null").groupBy("link", "host").agg(F.min("ord").alias("first_ord"), F.min(F.when(F.col("point").isNotNull(), F.struct("ord", "point"))).alias("w"))
-    links = by_link.select("link", "host", "first_ord", F.col("w.point").alias("point")).join(classes, "point", "left")
-    ranked = links.filter("class is not null").withColumn("nth", F.row_number().over(W.partitionBy("class", "host").orderBy("first_ord")))
-    bare = worded.filter("link is null").groupBy("point").agg(F.min("ord").alias("first_ord")).join(classes, "point").groupBy("class").agg(F.min("first_ord").alias("first_ord"))
-    heads = cut(
-        ranked.select("class", "nth", "first_ord")
-        .unionByName(bare.select("class", F.lit(1).alias("nth"), "first_ord"))
-        .groupBy("class", "nth")
-        .agg(F.min("first_ord").alias("first"))
+    points = rows.filter("point is not null").select("point", "space", "text").distinct()
+    if before:
+        fresh = cut(wording_classes(with_pivots(points.join(before.points.select("point"), "point", "left_anti")), before.points))
+        classes = points.join(before.points.select("point", "class"), "point").select("point", "class").unionByName(fresh.select("point", "class"))
+    else:
+        fresh = cut(wording_classes(with_pivots(points)))
+        classes = fresh.select("point", "class")
+    with_class = rows.select("ord", "host", "link", "point").join(classes, "point", "left")
+    by_link = with_class.filter("link is not null").groupBy("link", "host").agg(F.min("ord").alias("first_ord"), F.min(F.when(F.col("class").isNotNull(), F.struct("ord", "class"))).alias("w"))
+    seen = by_link.select("link", "host", "first_ord", F.col("w.class").alias("class"))
+    unseen = seen.join(before.links.select("link"), "link", "left_anti") if before else seen
+    nth = F.row_number().over(W.partitionBy("class", "host").orderBy("first_ord"))
+    ranked = unseen.filter("class is not null").withColumn("nth", nth)
+    if before:
+        ranked = ranked.join(before.counts, ["class", "host"], "left").withColumn("nth", F.col("nth") + F.coalesce("links", F.lit(0))).drop("links")
+    ranked = cut(ranked.select("link", "host", "first_ord", "class", F.col("nth").cast("long").alias("nth")))
+    bare = with_class.filter("link is null and class is not null").groupBy("class").agg(F.min("ord").alias("first"))
+    parts = ranked.select("class", "nth", F.col("first_ord").alias("first")).unionByName(bare.select("class", F.lit(1).cast("long").alias("nth"), "first"))
+    heads = cut((parts.unionByName(before.heads) if before else parts).groupBy("class", "nth").agg(F.min("first").alias("first")))
+    new_links = cut(
+        ranked.join(heads, ["class", "nth"])
+        .select("link", "class", "first")
+        .unionByName(unseen.filter("class is null").select("link", F.lit(None).cast("string").alias("class"), F.col("first_ord").alias("first")))
     )
-    of_link = ranked.join(heads, ["class", "nth"]).select("link", "first").unionByName(links.filter("class is null").select("link", F.col("first_ord").alias("first")))
-    of_bare = classes.join(heads.filter("nth = 1"), "class").select("point", "first")
-    with_link = rows.filter("link is not null").select("ord", "link").join(of_link, "link").select("ord", "first")
-    without = rows.filter("link is null and point is not null").select("ord", "point").join(of_bare, "point").select("ord", "first")
-    alone = rows.filter("link is null and point is null").select("ord", F.col("ord").alias("first"))
-    return with_link.unionByName(without).unionByName(alone)
+    links = new_links.unionByName(before.links) if before else new_links
+    found = (
+        rows.filter("link is not null").select("ord", "link").join(links.select("link", "first"), "link").select("ord", "first")
+        .unionByName(with_class.filter("link is null and class is not null").select("ord", "class").join(heads.filter("nth = 1"), "class").select("ord", "first"))
+        .unionByName(with_class.filter("link is null and class is null").select("ord", F.col("ord").alias("first")))
+    )
+    counts = ranked.groupBy("class", "host").agg(F.count("*").alias("links"))
+    if before:
+        counts = counts.unionByName(before.counts).groupBy("class", "host").agg(F.sum("links").alias("links"))
+    table = fresh.select("point", "space", "text", "d", "class")
+    return found, Accepted(table.unionByName(before.points) if before else table, links, counts, heads)
 
 
 def posting_points(rows: DataFrame, organisations: DataFrame, roles: DataFrame) -> DataFrame:

@@ -19,7 +19,10 @@ def _mapped(values: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of new batches that repeat a posting, with that posting's first row."""
+    """Rows of new batches that repeat a posting, with that posting's first row.
+
+    History is accepted first; the new batches then meet its table only.
+    """
     rows = read_table(spark, sf_dir, "upload_rows").select("row_id", "batch_no", "title", "company", "city", "job_link")
     rows = rows.withColumn("ord", F.struct("batch_no", "row_id"))
     organisations = cut(names.link_names(rows.select(F.col("company").alias("name"))))
@@ -29,8 +32,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         organisations = F.broadcast(organisations)
     if small_enough(roles, 60):
         roles = F.broadcast(roles)
-    found = pivots.postings(pivots.posting_points(rows, organisations, roles))
-    return found.filter("ord.batch_no >= 1 and first <> ord").select(F.col("first.row_id").alias("row_id_a"), F.col("ord.row_id").alias("row_id_b"))
+    points = cut(pivots.posting_points(rows, organisations, roles))
+    _, history = pivots.accept(points.filter("ord.batch_no = 0"))
+    found, _ = pivots.accept(points.filter("ord.batch_no >= 1"), history)
+    return found.filter("first <> ord").select(F.col("first.row_id").alias("row_id_a"), F.col("ord.row_id").alias("row_id_b"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
