@@ -67,9 +67,13 @@ def rescue(title: Column, seed: Column, description: Column, url: Column, least:
     the description is weak or the address looks like a posting.
     """
     weak = (F.length(F.coalesce(trim(description), F.lit(""))) < 60) | form_text(description)
-    passed = gate(title, description, url, least)
-    saved = ~passed & title_strict(seed) & (weak | known_host(url) | job_path(url))
-    return F.struct((passed | saved).alias("keep"), F.when(saved, seed).otherwise(title).alias("title"), (saved & weak).alias("placeholder"))
+    facts = F.struct(gate(title, description, url, least).alias("passed"), title_strict(seed).alias("strict"), weak.alias("weak"), (known_host(url) | job_path(url)).alias("posting"))
+
+    def verdict(f: Column) -> Column:
+        saved = ~f["passed"] & f["strict"] & (f["weak"] | f["posting"])
+        return F.struct((f["passed"] | saved).alias("keep"), F.when(saved, seed).otherwise(title).alias("title"), (saved & f["weak"]).alias("placeholder"))
+
+    return urls.let(facts, verdict)
 
 
 def noise_title(title: Column) -> Column:

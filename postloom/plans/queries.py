@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.functions import extract, predicates, scoring, urls, vocab
+from postloom.functions import boards, extract, predicates, scoring, urls, vocab
 from postloom.functions import text as tx
-from postloom.operators import curate, dedup, enrich, layout, quality
+from postloom.operators import curate, dedup, enrich, layout, logos, quality
 from postloom.operators.lists import explode_packed
 from postloom.plans import sql as q
 from postloom.session import read_table
 from postloom.sources import sinks
+from postloom.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -588,20 +590,22 @@ def logo_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "logo_cache").agg(F.count("*").alias("cached"), F.count_if(F.col("logo_source") != "unresolved").alias("resolved"), F.count_if(F.col("logo_source") == "unresolved").alias("unresolved"))
 
 
-_GUESS_TAIL = r"\s*(inc\.?|llc|ltd\.?|limited|corp\.?|corporation|gmbh|pvt\.?|private|software|services|athletics|retail|uk|spa)\s*$"
-
-
 @query(f"""
-WITH c AS (SELECT DISTINCT lower({q.trim('company')}) AS company_key FROM upload_rows WHERE company IS NOT NULL),
-g AS (SELECT company_key, regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace(company_key, '{_GUESS_TAIL}', ''), ',\\s*$', '')), '[^a-z0-9\\s]', '', 'g'), '\\s+', '', 'g') AS bare FROM c)
-SELECT company_key, [bare || '.com', bare || '.io', bare || '.co'] AS guesses FROM g WHERE length(bare) >= 2
+WITH c AS (SELECT DISTINCT lower({q.trim('company')}) AS company_key FROM upload_rows WHERE {q.trim('company')} <> ''),
+g AS (SELECT company_key, regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace(company_key, '{logos.NAME_TAIL}', ''), ',\\s*$', '')), '[^a-z0-9\\s]', '', 'g'), '\\s+', '', 'g') AS bare FROM c)
+SELECT company_key, CASE WHEN length(bare) >= 2 THEN [bare || '.com', bare || '.io', bare || '.co'] ELSE [] END AS guesses FROM g
 """)
 def logo_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domains that a company's name suggests: one legal or trade suffix off, then plain letters."""
-    c = read_table(spark, sf_dir, "upload_rows").filter("company is not null").select(F.lower(tx.trim(F.col("company"))).alias("company_key")).distinct()
-    cut = F.regexp_replace(F.regexp_replace("company_key", _GUESS_TAIL, ""), r",\s*$", "")
-    bare = F.regexp_replace(F.regexp_replace(F.trim(cut), r"[^a-z0-9\s]", ""), r"\s+", "")
-    return c.withColumn("bare", bare).filter("length(bare) >= 2").select("company_key", F.array(*[F.concat("bare", F.lit(t)) for t in (".com", ".io", ".co")]).alias("guesses"))
+    rows = read_table(spark, sf_dir, "upload_rows").filter(tx.trim(F.col("company")) != "")
+    return rows.select(F.lower(tx.trim(F.col("company"))).alias("company_key")).distinct().select("company_key", logos.guesses(F.col("company_key")).alias("guesses"))
+
+
+@query()
+def logo_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domains to try for each company that the cache lacks."""
+    wanted = logos.candidates(read_table(spark, sf_dir, "upload_rows").select("row_id", "company", "company_website"))
+    return curate.unseen(wanted, read_table(spark, sf_dir, "logo_cache"), key="company_key")
 
 
 # ---- quality and reviews -----------------------------------------------------
@@ -743,6 +747,33 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
 
 
+@query("""
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events WHERE ts IS NOT NULL GROUP BY 1, 2
+""")
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts of the events as a stream that is read to its end."""
+    schema = read_table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = streams.drained(streams.windowed_counts(stream, "ts", "event_type", "value"), f"stream_windows_{uuid.uuid4().hex[:8]}", "complete")
+    return counts.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+_SITE = "coalesce(job_link, company_website)"
+
+
+@query(f"""
+SELECT row_id, lower({q.host(_SITE)}) AS host, {q.matches(q.host(_SITE), '(?:' + vocab.KNOWN_HOSTS + '|phenompeople' + chr(92) + '.com)$')} OR coalesce({q.host(_SITE)} = {q.host('company_website')}, false)
+  OR (coalesce({q.host(_SITE)} LIKE '%.' || regexp_replace({q.host('company_website')}, '^www\\.', '') , false) AND {q.matches(q.host(_SITE), '^(?:jobs|careers)' + chr(92) + '.')}) AS allowed
+FROM upload_rows WHERE company_website IS NOT NULL AND len(string_split(regexp_replace({q.host('company_website')}, '^www\\.', ''), '.')) <= 2
+""")
+def crawl_allowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a crawl that starts at the company's site may follow the posting's link."""
+    rows = read_table(spark, sf_dir, "upload_rows").filter("company_website is not null")
+    site = F.coalesce("job_link", "company_website")
+    short = rows.filter(F.size(F.split(F.regexp_replace(urls.host(F.col("company_website")), r"^www\.", ""), r"\.")) <= 2)
+    return short.select("row_id", urls.host(site).alias("host"), boards.crawl_allowed(site, F.col("company_website")).alias("allowed"))
+
+
 @query()
 def pipeline_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole path over the scraped rows: described, distinct postings of the trade."""

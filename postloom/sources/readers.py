@@ -118,3 +118,36 @@ def board_jobs(replies: DataFrame, system: str) -> DataFrame:
     if system in ("greenhouse", "ashby"):
         jobs = jobs.filter((F.coalesce("title", F.lit("")) != "") & (F.coalesce("url", F.lit("")) != ""))
     return jobs
+
+
+def seeds(spark: SparkSession, arguments: list[str] | None = None, environment: str | None = None, path: str | None = None) -> DataFrame:
+    """Addresses to start from: the first source that holds any, of arguments, a JSON list and a file."""
+    import json
+
+    def web(values: list) -> list[str]:
+        return [v for v in values if isinstance(v, str) and v.lower().startswith(("http://", "https://"))]
+
+    listed = web(arguments or [])
+    if not listed and environment:
+        try:
+            parsed = json.loads(environment)
+        except ValueError:
+            parsed = []
+        listed = web(parsed if isinstance(parsed, list) else [])
+    if listed or not path:
+        return spark.createDataFrame([(v,) for v in listed], "url string")
+    return read_strings(spark, path).filter("lower(value) rlike '^https?://'").withColumnRenamed("value", "url")
+
+
+def review_tables(docs: DataFrame) -> DataFrame:
+    """(doc_id, nr, cells, link) of the rows of Markdown tables, joined with the document's numbered sources.
+
+    A row is a line of cells between bars that starts with a number; a source
+    is such a row with an address in it.  Rows without source have no link.
+    """
+    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).filter(F.col("line").rlike(r"^\s*\|\s*[0-9]+\s*\|"))
+    cells = F.transform(F.split(F.regexp_replace(F.col("line"), r"^\s*\||\|\s*$", ""), r"\|"), trim)
+    rows = lines.select("doc_id", cells.alias("cells"), F.regexp_extract("line", r"(https?://[^\s|)>]+)", 1).alias("link")).withColumn("nr", F.col("cells")[0].cast("int"))
+    sources = rows.filter("link <> '' and size(cells) <= 3").groupBy("doc_id", "nr").agg(F.min("link").alias("source"))
+    main = rows.filter("not (link <> '' and size(cells) <= 3)")
+    return main.join(sources, ["doc_id", "nr"], "left").select("doc_id", "nr", "cells", F.coalesce("source", F.nullif("link", F.lit(""))).alias("link"))
