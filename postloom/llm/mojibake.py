@@ -184,23 +184,46 @@ def plausible(old: str, new: str, utf8: bool) -> bool:
     return any(new[i] == "’" or new[i].isalpha() and (new[i - 1 : i].isalpha() or new[i + 1 : i + 2].isalpha()) for i in changed)
 
 
+@lru_cache(maxsize=100_000)
+def viable(chars: frozenset[str]) -> tuple[tuple[str, ...], tuple[tuple[str, str], ...]]:
+    """Steps that the characters of a line allow at all: (encodings for UTF-8, other pairs).
+
+    UTF-8 needs a character for a leading byte and one for a continuation; a
+    pair must change something and bring no script or control sign that no text
+    has.  Lines share few sets of characters, so this is mostly remembered.
+    """
+    utf8 = []
+    for codec in READ_AS:
+        codes = [ord(x) for x in map(to_byte(codec).get, chars) if x]
+        if any(0xC2 <= b <= 0xF4 for b in codes) and any(0x80 <= b <= 0xBF for b in codes):
+            utf8.append(codec)
+    pairs = []
+    for pair in OTHER_PAIRS:
+        new = [x for x in (single_table(*pair).get(ord(c)) for c in chars) if x]
+        if new and not FOREIGN.search("".join(new)) and not all(CONTROL.fullmatch(x) for x in new):
+            pairs.append(pair)
+    return tuple(utf8), tuple(pairs)
+
+
 def candidates(line: str, room: float = float("inf")) -> Iterator[tuple[str, str, float]]:
     """(chain step, decoded line, cost) of each plausible decoding that changes the line.
 
     Steps that cost more than ``room``, the most that may be gained, are left out.
     """
-    for codec in READ_AS:
+    high = "".join(HIGH.findall(line))
+    utf8, pairs = viable(frozenset(high))
+    for codec in utf8:
         new = as_utf8(line, codec)
         if new != line and plausible(line, new, True):
             yield f"{codec}>utf_8", new, UTF8_COST
     if room <= OTHER_COST and not ODD_CASE.search(line):
         return
-    for read_as, really in OTHER_PAIRS:
+    for read_as, really in pairs:
         new = line.translate(single_table(read_as, really))
         if new != line and plausible(line, new, False):
             mended = len(ODD_CASE.findall(line)) - len(ODD_CASE.findall(new))
             yield f"{read_as}>{really}", new, max(UTF8_COST, OTHER_COST - ODD_VALUE * mended)
-    if sum(map(len, HIGH.findall(line))) * WIDE_SHARE < len(line):
+    if len(high) * WIDE_SHARE < len(line):
         return
     for read_as, really in WIDE_PAIRS:
         new = as_wide(line, read_as, really)
