@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from postloom.session import cut
+from postloom.session import cut, small_enough
 
 BLOCK_TOKENS = 128
 SHARD_SLOTS = 1024
@@ -78,7 +78,8 @@ def packed(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     held = held.withColumn("range", F.floor((F.col("o").cast("double") / 2.0**64 + 0.5) * ORDER_RANGES).cast("int"))
     sums = held.groupBy("source", "range").agg(F.sum("n_tokens").alias("in_range"))
     before = sums.withColumn("before", F.sum("in_range").over(W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, -1)))
-    placed = held.join(F.broadcast(before.select("source", "range", F.coalesce("before", F.lit(0)).alias("before"))), ["source", "range"])
+    before = cut(before.select("source", "range", F.coalesce("before", F.lit(0)).alias("before")))
+    placed = held.join(F.broadcast(before) if small_enough(before, 80) else before, ["source", "range"])
     within = F.sum("n_tokens").over(W.partitionBy("source", "range").orderBy("o", "doc_id").rowsBetween(W.unboundedPreceding, 0))
     at = placed.withColumn("from", F.col("before") + within - F.col("n_tokens")).withColumn("to", F.col("from") + F.col("n_tokens"))
     split = at.withColumn("block", F.explode(F.sequence(F.floor(F.col("from") / block_tokens), F.floor((F.col("to") - 1) / block_tokens))))
@@ -102,7 +103,7 @@ def slot_plan(targets: DataFrame, sources: DataFrame, total_tokens: int, block_t
         .withColumn("mix_tokens", F.round(F.coalesce("corpus_fraction", F.lit(0.0)) * total_tokens).cast("bigint"))
         .withColumn("target_tokens", F.round(F.col("target_share") * F.col("mix_tokens")).cast("bigint"))
     )
-    held = plan.join(F.broadcast(sources.withColumnRenamed("source", "source_name")), "source_name", "left").withColumn("source_tokens", F.coalesce("source_tokens", F.lit(0)))
+    held = plan.join(sources.withColumnRenamed("source", "source_name"), "source_name", "left").withColumn("source_tokens", F.coalesce("source_tokens", F.lit(0)))
     blocks = F.ceil(F.col("source_tokens") / block_tokens)
     wanted = F.round(F.col("target_tokens") / block_tokens).cast("bigint")
     return held.withColumn("blocks", blocks.cast("bigint")).withColumn("slots", F.least(wanted, F.col("blocks") * F.col("max_repeats"))).withColumn("short", F.col("slots") < wanted)
@@ -141,6 +142,7 @@ def mixes(docs: DataFrame, targets: DataFrame, block_tokens: int = BLOCK_TOKENS)
     """
     docs = cut(docs.select("doc_id", "source", "n_tokens"))
     total = docs.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("t")).first().t
+    docs = docs.join(targets.select(F.col("source_name").alias("source")).distinct(), "source", "left_semi")
     sources = docs.filter("source is not null").groupBy("source").agg(F.sum("n_tokens").alias("source_tokens"))
     plan = cut(slot_plan(targets, sources, total, block_tokens))
     pieces = drawn(plan).join(packed(docs, block_tokens), ["source", "block"]).select("mix_name", "shard", "position", "source", "block", "turn", "doc_id", "start", "tokens")

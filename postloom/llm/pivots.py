@@ -27,11 +27,11 @@ from urllib.parse import parse_qsl, unquote
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from postloom.llm.canonical import acceptable, radius_of
 from postloom.llm.components import connected_components
 from postloom.llm.titles import fold
+from postloom.operators.layout import with_position
 from postloom.session import cut
 
 #: The pivots: fixed texts of different length and letters.
@@ -197,8 +197,10 @@ def accept(rows: DataFrame, before: Accepted | None = None) -> tuple[DataFrame,
     by_link = with_class.filter("link is not null").groupBy("link", "host").agg(F.min("ord").alias("first_ord"), F.min(F.when(F.col("class").isNotNull(), F.struct("ord", "class"))).alias("w"))
     seen = by_link.select("link", "host", "first_ord", F.col("w.class").alias("class"))
     unseen = seen.join(before.links.select("link"), "link", "left_anti") if before else seen
-    nth = F.row_number().over(W.partitionBy("class", "host").orderBy("first_ord"))
-    ranked = unseen.filter("class is not null").withColumn("nth", nth)
+    # numbered over the whole order and then within the group, so that no task holds a whole hot class
+    placed = with_position(unseen.filter("class is not null"), ["class", "host", "first_ord"], "place")
+    start = placed.groupBy("class", "host").agg(F.min("place").alias("start"))
+    ranked = placed.join(start, ["class", "host"]).withColumn("nth", F.col("place") - F.col("start") + 1).drop("place", "start")
     if before:
         ranked = ranked.join(before.counts, ["class", "host"], "left").withColumn("nth", F.col("nth") + F.coalesce("links", F.lit(0))).drop("links")
     ranked = cut(ranked.select("link", "host", "first_ord", "class", F.col("nth").cast("long").alias("nth")))
