@@ -46,6 +46,6 @@ def unseen(found: DataFrame, *known: DataFrame, key: str) -> DataFrame:
 def tag_weights(tags: DataFrame, user: str, tag: str, floor: int) -> DataFrame:
     """(tag, users, weight): distinct users of each tag used by at least ``floor``, log-smoothed to at most 10."""
     pairs = tags.filter(F.col(user).isNotNull() & F.col(tag).isNotNull()).select(user, tag).distinct()
-    counted = pairs.groupBy(tag).agg(F.count("*").alias("users")).filter(F.col("users") >= floor)
-    total = pairs.agg(F.countDistinct(user).alias("all_users"))
-    return counted.crossJoin(F.broadcast(total)).select(F.col(tag).alias("tag"), "users", F.round(F.log1p("users") / F.log1p("all_users") * 10, 2).alias("weight"))
+    counted = pairs.groupBy(tag).agg(F.count("*").alias("users")).filter(F.col("users") >= floor).withColumn("__one", F.lit(1))
+    total = pairs.agg(F.countDistinct(user).alias("all_users")).withColumn("__one", F.lit(1))
+    return counted.join(total, "__one").select(F.col(tag).alias("tag"), "users", F.round(F.log1p("users") / F.log1p("all_users") * 10, 2).alias("weight"))
