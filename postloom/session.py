@@ -62,3 +62,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_enough(df: DataFrame, bytes_per_row: int, limit: int = BROADCAST_BYTES) -> bool:
     """Whether a (checkpointed, hence cheap to count) table may be broadcast."""
     return df.count() * bytes_per_row <= limit
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """The same rows over at least as many partitions as there are cores.
+
+    A table in one small file would keep costly Python work on one core; a
+    table of the usual size has partitions enough and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
