@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postloom.session import spread_out
+
 #: Folder of the public vocabularies; the environment may name another.
 TOKENIZER_DIR = os.environ.get("POSTLOOM_TOKENIZERS", "/opt/tokenizers")
 DEFAULT_RANKS = f"{TOKENIZER_DIR}/byte_bpe_50k.tiktoken"
@@ -93,4 +95,4 @@ def token_count(text: Column, path: str = DEFAULT_RANKS) -> Column:
 
 def encoded(docs: DataFrame, path: str = DEFAULT_RANKS) -> DataFrame:
     """(doc_id, ids) for every document; no shuffle."""
-    return docs.select("doc_id", token_ids(F.col("text"), path).alias("ids"))
+    return spread_out(docs.select("doc_id", "text")).select("doc_id", token_ids(F.col("text"), path).alias("ids"))

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from postloom.session import spread_out
+
 LANGUAGES = ("en", "de", "fr", "es", "pt", "pl", "ru", "ja")
 LATIN = ("en", "de", "fr", "es", "pt", "pl")
 #: Texts that are looked through for the dictionaries, and texts of each
@@ -384,4 +386,4 @@ def restored(docs: DataFrame, dictionaries: dict[str, bytes] | None = None) -> D
             rows = [restore(t, lang, judge, cache) for t, lang in zip(pdf["text"], pdf["lang"])]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": [r[0] for r in rows], "chain": [r[1] for r in rows], "damaged": [r[2] for r in rows]})
 
-    return docs.select("doc_id", "text", "lang").mapInPandas(run, "doc_id long, text string, chain string, damaged boolean")
+    return spread_out(docs.select("doc_id", "text", "lang")).mapInPandas(run, "doc_id long, text string, chain string, damaged boolean")

@@ -9,7 +9,7 @@ from postloom.llm import boilerplate, canonical, encode, mix, mojibake, names, p
 from postloom.llm.aliases import ALIASES
 from postloom.llm.titles import title_parts
 from postloom.operators.lists import explode_packed
-from postloom.session import cut, read_table, small_enough
+from postloom.session import cut, read_table, small_enough, spread_out
 
 
 def _mapped(values: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     History is accepted first; the new batches then meet its table only.
     """
-    rows = read_table(spark, sf_dir, "upload_rows").select("row_id", "batch_no", "title", "company", "city", "job_link")
+    rows = spread_out(read_table(spark, sf_dir, "upload_rows").select("row_id", "batch_no", "title", "company", "city", "job_link"))
     rows = rows.withColumn("ord", F.struct("batch_no", "row_id"))
     organisations = cut(names.link_names(rows.select(F.col("company").alias("name"))))
     roles = rows.select(title_parts(F.col("title"), F.col("city"))["role"].alias("value")).filter("value <> ''").withColumn("kind", F.lit("title"))
@@ -40,7 +40,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The term that each title and each value of skills means, or -1."""
-    rows = read_table(spark, sf_dir, "upload_rows")
+    rows = spread_out(read_table(spark, sf_dir, "upload_rows").select("row_id", "title", "city", "skills"))
     titles = rows.filter(F.trim(F.regexp_replace("title", "[\\s\\u00a0]+", " ")) != "").select(
         "row_id", F.lit("title").alias("field_name"), F.lit(1).alias("pos"), F.lit("title").alias("kind"), title_parts(F.col("title"), F.col("city"))["role"].alias("value")
     )
@@ -74,7 +74,7 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", encode.token_count(F.col("text")).alias("n_tokens"))
+    docs = spread_out(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "source", encode.token_count(F.col("text")).alias("n_tokens"))
     return mix.mixes(docs, read_table(spark, sf_dir, "mix_targets"))
 
 

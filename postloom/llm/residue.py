@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postloom.llm.boilerplate import plain
+from postloom.session import spread_out
 
 #: Bounds of the sample on which the model is fitted: rows that are looked
 #: through for trusted patterns, and rows of them that count as unlabelled.
@@ -222,7 +223,7 @@ def fit_sample(rows: DataFrame) -> tuple[list[str], list[str]]:
     taken = text.withColumn("spot", spot).filter(F.col("spot") < SAMPLE_ROWS / count)
     other = F.col("spot") < UNLABELLED_ROWS / count
     trusted = F.coalesce(F.concat_ws("\n", "title", "description").rlike("(?m)" + TRUSTED), F.lit(False))
-    kept = taken.select("title", "description", other.alias("other"), trusted.alias("trusted")).filter("other or trusted").limit(2 * SAMPLE_ROWS)
+    kept = spread_out(taken).select("title", "description", other.alias("other"), trusted.alias("trusted")).filter("other or trusted").limit(2 * SAMPLE_ROWS)
     positive: list[str] = []
     unlabelled: list[str] = []
     for r in kept.toLocalIterator():
@@ -263,4 +264,4 @@ def residue(rows: DataFrame, model: Model | None = None) -> DataFrame:
                         break
             yield pd.DataFrame({"row_id": pd.Series(hits, dtype="int64")})
 
-    return rows.select("row_id", "title", "description").mapInPandas(found, "row_id long")
+    return spread_out(rows.select("row_id", "title", "description")).mapInPandas(found, "row_id long")
