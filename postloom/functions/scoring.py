@@ -47,8 +47,8 @@ def tier_score(text: Column) -> Column:
     """The first tier with a hit, 3 without any."""
     low = F.lower(F.coalesce(text, F.lit("")))
     score = None
-    for value, spec in vocab.TIERS:
-        hit = low.rlike("|".join(f"(?:{p})" for p in vocab.tier_patterns(spec)[0]))
+    for value, spec in vocab.TIERS.items():
+        hit = low.rlike("|".join(f"(?:{vocab.java(p)})" for p in vocab.tier_patterns(spec)))
         score = F.when(hit, value) if score is None else score.when(hit, value)
     return score.otherwise(vocab.NEUTRAL_SCORE)
 

@@ -162,14 +162,42 @@ technical_design: technical design, tech pack""".splitlines()
 }
 SKILL_STOP_WORDS = frozenset("and or with in of to the a an experience proficiency knowledge ability skills skill".split())
 SENTENCE_WORDS = frozenset("the to they that this their them need deliver enable companies tracks".split())
-# The score tiers, best first; ``~`` marks an open word end, ``..`` anything between.
-TIERS = (
-    (10, "illustrat~; animator; animation; art director; graphic design~; visual design~; ux design~; ui design~; ui/ux; ux/ui; video edit~; motion design~; motion graphic~; game design~; character design~; typograph~; fashion design~; jewelry design~; industrial design~; product design~; interaction design~; experience design~; creative direct~; art lead; conceptual artist; concept artist; digital artist; fine art; photograph~; videograph~; cinematograph~; sound design~; music produc~; audio engineer~; vfx; special effects; 3d artist; 3d model~; sculptor; storyboard~; comic; cartoon~; footwear design~; textile design~; apparel design~; packaging design~; print design~"),
-    (8, "copywriter; creative writer; content creator; brand design~; brand identity; creative strateg~; creative produc~; visual storytell~; social media content; editorial design~; web design~; front?end design~; creative services; creative team; creative manager; creative lead; creative specialist; senior designer; lead designer; staff designer; ux researcher; user research~; product designer; spatial design~; environmental design~; musician; composer; lyricist; film..produc~; production design~; content design~; creative content"),
-    (6, "marketing design~; campaign manag~; brand manag~; content manag~; content strateg~; content market~; social media manag~; community manag~; ux; ui; user experience; user interface; creative; design; visual; writer; editor; producer; stylish; stylist; fashion; architect~; interior; game dev~; game artist; photoshop; sketch..design~; digital market~; ecommerce*design~; creative ops; creative operat~; narrat~; storytell~; web content; copyedit~; post produc~; broadcast~"),
-    (4, "marketing; brand; communic~; social media; public relation~; pr; product manag~; program manag~; project manag*creative~; creative*project~; customer experienc~; cx; content; media; training*design~; instructional design~; event; show..produc~; studio manag~; studio operat~; digital*manag~; digital prod~"),
-    (2, "engine~; develop~; software; data; analyst; analysis; scient~; finance; financial; accounting; operat~; logistic~; supply chain; project manag; program manag; hr; human resource~; recruit~; safety; complian~; legal; sales; business dev~; account exec~; customer support; customer service; warehouse; manufactur~; product~; admin; coordinat~; assistant"),
-)
+# The patterns of the score tiers, best tier first; ``\\b`` is the end of an ASCII word.
+TIERS = {
+    10: r"""
+        \billustrat ; \banimator\b ; \banimation\b ; \bart director\b ; \bgraphic design ; \bvisual design ; \bux design ; \bui design ; \bui/ux\b ; \bux/ui\b
+        \bvideo edit ; \bmotion design ; \bmotion graphic ; \bgame design ; \bcharacter design ; \btypograph ; \bfashion design ; \bjewelry design
+        \bindustrial design ; \bproduct design ; \binteraction design ; \bexperience design ; \bcreative direct ; \bart lead\b ; \bconceptual artist\b
+        \bconcept artist\b ; \bdigital artist\b ; \bfine art\b ; \bphotograph ; \bvideograph ; \bcinematograph ; \bsound design ; \bmusic produc
+        \baudio engineer ; \bvfx\b ; \bspecial effects\b ; \b3d artist\b ; \b3d model ; \bsculptor\b ; \bstoryboard ; \bcomic\b ; \bcartoon
+        \bfootwear design ; \btextile design ; \bapparel design ; \bpackaging design ; \bprint design
+    """,
+    8: r"""
+        \bcopywriter\b ; \bcreative writer\b ; \bcontent creator\b ; \bbrand design ; \bbrand identity\b ; \bcreative strateg ; \bcreative produc
+        \bvisual storytell ; \bsocial media content\b ; \beditorial design ; \bweb design ; \bfront.end design ; \bcreative services\b ; \bcreative team\b
+        \bcreative manager\b ; \bcreative lead\b ; \bcreative specialist\b ; \bsenior designer\b ; \blead designer\b ; \bstaff designer\b ; \bux researcher\b
+        \buser research ; \bproduct designer\b ; \bspatial design ; \benvironmental design ; \bmusician\b ; \bcomposer\b ; \blyricist\b ; \bfilm\b.*\bproduc
+        \bproduction design ; \bcontent design ; \bcreative content\b
+    """,
+    6: r"""
+        \bmarketing design ; \bcampaign manag ; \bbrand manag ; \bcontent manag ; \bcontent strateg ; \bcontent market ; \bsocial media manag
+        \bcommunity manag ; \bux\b ; \bui\b ; \buser experience\b ; \buser interface\b ; \bcreative\b ; \bdesign\b ; \bvisual\b ; \bwriter\b ; \beditor\b
+        \bproducer\b ; \bstylish\b ; \bstylist\b ; \bfashion\b ; \barch(itect|itectur) ; \binterior\b ; \bgame dev ; \bgame artist\b ; \bphotoshop\b
+        \bsketch\b.*\bdesign ; \bdigital market ; \becommerce.*design ; \bcreative ops\b ; \bcreative operat ; \bnarrat ; \bstorytell ; \bweb content\b
+        \bcopyedit ; \bpost produc ; \bbroadcast
+    """,
+    4: r"""
+        \bmarketing\b ; \bbrand\b ; \bcommunic ; \bsocial media\b ; \bpublic relation ; \bpr\b ; \bproduct manag ; \bprogram manag ; \bproject manag.*creative
+        \bcreative.*project ; \bcustomer experienc ; \bcx\b ; \bcontent\b ; \bmedia\b ; \btraining.*design ; \binstructional design ; \bevent\b
+        \bshow\b.*\bproduc ; \bstudio manag ; \bstudio operat ; \bdigital.*manag ; \bdigital prod
+    """,
+    2: r"""
+        \bengine ; \bdevelop ; \bsoftware\b ; \bdata\b ; \banalyst\b ; \banalysis\b ; \bscient ; \bfinance\b ; \bfinancial\b ; \baccounting\b ; \boperat
+        \blogistic ; \bsupply chain\b ; \bproject manag\b ; \bprogram manag\b ; \bhr\b ; \bhuman resource ; \brecruit ; \bsafety\b ; \bcomplian ; \blegal\b
+        \bsales\b ; \bbusiness dev ; \baccount exec ; \bcustomer support\b ; \bcustomer service\b ; \bwarehouse\b ; \bmanufactur ; \bproduct ; \badmin\b
+        \bcoordinat ; \bassistant\b
+    """,
+}
 NEUTRAL_SCORE = 3
 
 #: Ends of ASCII words for Java patterns, where ``\b`` would count accented letters.
@@ -191,20 +219,11 @@ def sql_words(terms: list[str]) -> str:
     return (r"(?i)\b(?:" + "|".join(map(escaped, terms)) + r")\b").replace("'", "''")
 
 
-def tier_patterns(spec: str) -> tuple[list[str], list[str]]:
-    """A tier's patterns for Java and for RE2."""
-    java, re2 = [], []
-    for item in spec.split("; "):
-        open_end = item.endswith("~")
-        body = item.rstrip("~")
-        close_j, close_r = ("", "") if open_end else (CLOSE, r"\b")
-        first, gap, last = body.partition("..")
-        if gap:
-            java.append(f"{OPEN}{escaped(first)}{CLOSE}.*{OPEN}{escaped(last)}{close_j}")
-            re2.append(rf"\b{escaped(first)}\b.*\b{escaped(last)}{close_r}")
-            continue
-        core = ".*".join(escaped(x) for x in body.split("*"))
-        core = core.replace(r"\?", ".")
-        java.append(f"{OPEN}{core}{close_j}")
-        re2.append(rf"\b{core}{close_r}")
-    return java, re2
+def tier_patterns(spec: str) -> list[str]:
+    """The patterns of a tier, as they are stated."""
+    return [p for line in spec.strip().splitlines() for p in line.strip().split(" ; ")]
+
+
+def java(pattern: str) -> str:
+    """A pattern with ``\\b`` for Java, whose own counts accented letters as parts of words."""
+    return pattern.replace(r"\b", f"(?:{OPEN}(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_]){CLOSE})")

@@ -468,9 +468,9 @@ def dict_score_even(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _tier_sql(x: str) -> str:
     def one(spec: str) -> str:
-        return q.matches(x, "|".join(f"(?:{p})" for p in vocab.tier_patterns(spec)[1]))
+        return q.matches(x, "|".join(f"(?:{p})" for p in vocab.tier_patterns(spec)))
 
-    return "CASE " + " ".join(f"WHEN {one(spec)} THEN {value}" for value, spec in vocab.TIERS) + " ELSE 3 END"
+    return "CASE " + " ".join(f"WHEN {one(spec)} THEN {value}" for value, spec in vocab.TIERS.items()) + " ELSE 3 END"
 
 
 @query(f"SELECT {_tier_sql('lower(coalesce(title, chr(32)))')} AS score, count(*) AS jobs FROM raw_jobs GROUP BY 1")
