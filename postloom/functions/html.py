@@ -253,6 +253,30 @@ def job_posting(page: _Page) -> str | None:
     return None
 
 
+def organisation_hosts(page: _Page) -> list[str]:
+    """Hosts that a page's JobPosting nodes (top level or graph) give as the hiring organisation's own."""
+    out: list[str] = []
+    for raw in page.scripts:
+        try:
+            top = json.loads(raw)
+        except ValueError:
+            continue
+        nodes = [n for t in (top if isinstance(top, list) else [top]) if isinstance(t, dict) for n in (t["@graph"] if isinstance(t.get("@graph"), list) else [t])]
+        for node in nodes:
+            kind = node.get("@type") if isinstance(node, dict) else None
+            if kind != "JobPosting" and not (isinstance(kind, list) and "JobPosting" in kind):
+                continue
+            organisation = node.get("hiringOrganization")
+            same = organisation.get("sameAs") if isinstance(organisation, dict) else None
+            for link in same if isinstance(same, list) else [same]:
+                if isinstance(link, str) and link.strip():
+                    full = link.strip() if "://" in link else f"https://{link.strip()}"
+                    host = (urlsplit(full).hostname or "").removeprefix("www.")
+                    if host and not re.fullmatch(r"[0-9.]+", host):
+                        out.append(host)
+    return list(dict.fromkeys(out))
+
+
 def page_jobs(html: str | None, base: str) -> list[dict]:
     """Postings of a stored page: its links, then its data blocks; exact repeats once."""
     page = parse_page(html)
@@ -302,3 +326,7 @@ def pages_to_jobs(pages: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["page_url", "title", "url", "location"])
 
     return pages.select("url", "html").mapInPandas(run, "page_url string, title string, url string, location string")
+
+
+def organisation_hosts_column(html: Column) -> Column:
+    return F.pandas_udf(lambda s: pd.Series([organisation_hosts(parse_page(x)) for x in s]), "array<string>")(html)

@@ -49,3 +49,28 @@ def tag_weights(tags: DataFrame, user: str, tag: str, floor: int) -> DataFrame:
     counted = pairs.groupBy(tag).agg(F.count("*").alias("users")).filter(F.col("users") >= floor).withColumn("__one", F.lit(1))
     total = pairs.agg(F.countDistinct(user).alias("all_users")).withColumn("__one", F.lit(1))
     return counted.join(total, "__one").select(F.col(tag).alias("tag"), "users", F.round(F.log1p("users") / F.log1p("all_users") * 10, 2).alias("weight"))
+
+
+def append_new(master: DataFrame, new: DataFrame, key: str, ordinal: str) -> DataFrame:
+    """``master`` (key, ordinal) in its order, then the keys of ``new`` that it lacks in theirs, each once.
+
+    The result's ordinal goes on from the master's largest; ties of repeated
+    new keys go to the first.
+    """
+    base = master.groupBy(key).agg(F.min(ordinal).alias(ordinal))
+    last = base.agg(F.coalesce(F.max(ordinal), F.lit(0)).alias("__last")).withColumn("__one", F.lit(1))
+    added = new.groupBy(key).agg(F.min(ordinal).alias(ordinal)).join(base.select(key), key, "left_anti").withColumn("__one", F.lit(1)).join(last, "__one")
+    return base.select(key, ordinal).unionByName(added.select(key, (F.col(ordinal) + F.col("__last") + 1).alias(ordinal)))
+
+
+def discovered(pages: DataFrame, known: DataFrame, listed: DataFrame) -> DataFrame:
+    """Hosts of hiring organisations on stored pages (html) that are neither known nor listed, and the listed ones, sorted.
+
+    ``known`` has url, ``listed`` has host.
+    """
+    from postloom.functions import urls
+    from postloom.functions.html import organisation_hosts_column
+
+    hosts = pages.select(F.explode(organisation_hosts_column(F.col("html"))).alias("host")).distinct()
+    old = known.select(urls.bare_host(F.col("url")).alias("host")).filter("host is not null")
+    return unseen(hosts, old, listed, key="host").unionByName(listed.select("host")).distinct().orderBy("host")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postloom.functions import boards
-from postloom.operators import logos
+from postloom.operators import curate, logos
 from postloom.sources import readers
 
 
@@ -87,3 +87,15 @@ def test_seeds_and_tables(spark, tmp_path):
     text = "| # | Title |\n|---|---|\n| 1 | Designer | Acme | 50k |\n| 2 | Artist | B | - |\n\n| 1 | https://a.example/1 |\n"
     docs = spark.createDataFrame([(1, text), (2, None)], "doc_id int, text string")
     assert sorted((r.nr, r.cells[1], r.link) for r in readers.review_tables(docs).collect()) == [(1, "Designer", "https://a.example/1"), (2, "Artist", None)]
+
+
+def test_append_and_discovered(spark):
+    master = spark.createDataFrame([("a", 1), ("b", 2)], "url string, o long")
+    new = spark.createDataFrame([("c", 5), ("b", 1), ("c", 4), ("d", 2)], "url string, o long")
+    assert [r.url for r in curate.append_new(master, new, "url", "o").orderBy("o").collect()] == ["a", "b", "d", "c"]
+    node = {"@graph": [{"@type": "JobPosting", "hiringOrganization": {"sameAs": ["https://www.new.example/x", "old.example", 3]}}, {"@type": "Thing", "hiringOrganization": {"sameAs": "https://no.example"}}]}
+    page = f"<script type='application/ld+json'>{json.dumps(node)}</script><script type='application/ld+json'>broken</script>"
+    pages = spark.createDataFrame([(page,), (None,)], "html string")
+    known = spark.createDataFrame([("https://www.old.example/careers",)], "url string")
+    listed = spark.createDataFrame([("listed.example",)], "host string")
+    assert [r.host for r in curate.discovered(pages, known, listed).collect()] == ["listed.example", "new.example"]

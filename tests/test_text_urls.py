@@ -90,3 +90,11 @@ def test_slugs(one):
     assert one(urls.path_slug(F.col("v"), "greenhouse.io"), v="https://boards.greenhouse.io/Acme/jobs") == "acme"
     assert one(urls.path_slug(F.col("v"), "greenhouse.io"), v="https://boards.greenhouse.io/embed") is None
     assert one(urls.avatar(F.col("v")), v="A & (b)!") == "https://avatars.example/?name=A%20%26%20(b)!"
+
+
+def test_page_bits_and_sections(one):
+    raw = "Art Lead Remote Apply now. Back to jobs We buildApplyHere things"
+    assert one(tx.without_page_bits(F.col("v"), F.col("t")), v=raw, t="Art Lead") == "now. We build Here things"
+    assert one(tx.without_page_bits(F.col("v"), F.col("t")), v=None, t=None) == ""
+    html = "<p><strong>Location</strong></p><p>Here</p><p><strong>About the Role</strong></p><p>x</p>"
+    assert one(tx.repaired_sections(F.col("v")), v=html) == "<p><strong>Location</strong><br />Here</p><br /><p><strong>About the Role</strong><br />x</p>"
