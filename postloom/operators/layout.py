@@ -16,9 +16,10 @@ def with_position(df: DataFrame, order: Sequence[str], name: str = "position", r
 
     The rows are range-partitioned and sorted, partitions are counted, and each
     row adds its place in the partition to the rows before it: two passes, and
-    no task ever holds more than its range.
+    no task ever holds more than its range.  There are as many ranges as shuffle
+    partitions unless ``ranges`` says otherwise.
     """
-    parts = ranges or df.sparkSession.sparkContext.defaultParallelism
+    parts = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = cut(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()))
     sizes = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
     before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("__part", "__before")

@@ -68,6 +68,13 @@ def test_against_brute_force(spark):
     assert (2, "skills", 1, "UI/UX") in got and (2, "keywords", 2, 'c "d"') in got
 
 
+def test_same_rows_without_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame(ROWS, "row_id int, keywords string, skills string")
+    near = sorted(tuple(r) for r in explode_packed(df, ["row_id"], ["keywords", "skills"]).collect())
+    monkeypatch.setattr("postloom.operators.lists.small_enough", lambda *_: False)
+    assert sorted(tuple(r) for r in explode_packed(df, ["row_id"], ["keywords", "skills"]).collect()) == near
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "row_id int, keywords string")
     out = explode_packed(df, ["row_id"], ["keywords"])
