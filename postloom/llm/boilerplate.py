@@ -3,9 +3,11 @@
 Every description is read as a small tree: lines are paragraphs, runs of lines
 of one kind between blank lines are containers, the page is the root.  A
 paragraph earns points for its length and its commas, discounted by its link
-density, and passes them to its container and, halved, to the page.  The best
-container and every sibling whose score stands the comparison are kept; the
-lines of the others are furniture.
+density, and passes them to its container.  Lines that are links as a whole
+are furniture.  A container at the page's edge that stands against such lines
+without a blank line between belongs to them, whatever its wording or language,
+unless its score stands the comparison with the best container.  Containers
+inside the page and between blank lines are siblings of the body and are kept.
 
 The tables hold text without anchors, so link density is measured against what
 links say: the labels of menus and footers, and the calls of share, sign-up,
@@ -141,7 +143,10 @@ CALL = re.compile(r"[\s←→‹›«»•*·-]*(?:" + "|".join(x for x in CALLS
 MENU_CUT = re.compile(r"\s*[|·•/›>»]\s*|\s{2,}")
 TRAIL_CUT = re.compile(r"\s+(?:[›>»/]|::|->|→)\s+")
 LONGEST_LABEL = max(len(x.split()) for x in LABEL_SET)
-MIN_SHARE = 0.02
+#: A container at the page's edge stays from this share of the best one's score.
+MIN_SHARE = 0.1
+#: Points beyond which a longer body asks no more of the containers beside it.
+ENOUGH = 20
 
 
 @lru_cache(maxsize=1)
@@ -211,42 +216,29 @@ def points(text: str, density: float) -> float:
 
 def furniture_lines(description: str | None, density=link_density) -> list[int]:
     """Numbers (from 1) of the lines that are page furniture; blank lines are none."""
+    from postloom.llm.residue import TRUSTED_PATTERN
+
     if not description:
         return []
-    containers: list[tuple[float, list[tuple[int, float, float]]]] = []
-    run: list[tuple[int, float, float]] = []
-    kind = None
-
-    def close() -> None:
-        nonlocal run
-        if run:
-            containers.append((sum(p for _, p, _ in run), run))
-            run = []
-
+    # a container: its block between blank lines, whether it is links, its lines and its points
+    containers: list[list] = []
+    block = 0
     for number, line in enumerate(description.split("\n"), 1):
         text = plain(line)
         if not text:
-            close()
-            kind = None
+            block += 1
             continue
         d = density(text)
         linky = d >= 0.5
-        if linky != kind:
-            close()
-            kind = linky
-        run.append((number, points(text, d), d))
-    close()
-    if not containers:
-        return []
-    best = max(score for score, _ in containers)
-    page = sum(score for score, _ in containers) / 2
-    out: list[int] = []
-    for score, lines in containers:
-        own = max(score, max(p for _, p, _ in lines))
-        if own < MIN_SHARE * min(best, page) or own == 0:
-            out += [n for n, _, _ in lines]
-        else:
-            out += [n for n, _, d in lines if d >= 0.5]
+        if not containers or containers[-1][:2] != [block, linky]:
+            containers.append([block, linky, [], 0.0])
+        containers[-1][2].append((number, text))
+        containers[-1][3] += points(text, d)
+    out = [n for _, linky, lines, _ in containers if linky for n, _ in lines]
+    bar = MIN_SHARE * min(ENOUGH, max((score for _, linky, _, score in containers if not linky), default=0.0))
+    for (block, linky, lines, score), beside in zip(containers[:1] + containers[-1:], containers[1:2] + containers[-2:-1]):
+        if not linky and beside[:2] == [block, True] and score < bar:
+            out += [n for n, text in lines if not TRUSTED_PATTERN.search(text)]
     return sorted(out)
 
 

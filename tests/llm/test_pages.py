@@ -37,6 +37,23 @@ def test_link_density_counts_share():
     assert 0 < b.link_density("Help | mentor | teach when you can") < 0.5
 
 
+BODY = ["Track 39 small requests a week, without losing picture-book spreads, sound or colour"] * 12
+
+
+def test_unlisted_furniture_falls_with_its_container():
+    top, foot = ["Chi siamo · Lavora con noi", "Help", "Log in"], ["© 2022 OpenNest", "Alle rechten voorbehouden"]
+    assert b.furniture_lines("\n".join(top + BODY + foot)) == [1, 2, 3, 16, 17]
+    # a short body heading is kept where a blank line parts it, an error message and a comparable container always
+    assert b.furniture_lines("\n".join(["Perks", "", *top[1:], *BODY, "Log in", "", "Perks"])) == [3, 4, 17]
+    assert b.furniture_lines("\n".join(["404 Not Found", *top[1:], *BODY])) == [2, 3]
+    assert b.furniture_lines("\n".join([*BODY[:2], *top[1:], *BODY])) == [3, 4]
+
+
+def test_long_body_keeps_lone_headings():
+    text = "\n".join(BODY * 20 + ["", "Perks", ""] + BODY * 20)
+    assert b.furniture_lines(text) == []
+
+
 BAD = ["Error 403: you do not have permission", "{{job_title}} at {{company}}", "Plan films for [city] by [deadline]", "HTTP 503 service unavailable", "Lorem ipsum dolor sit amet", "Please enable JavaScript to view this job."]
 GOOD = ["You will redesign our 404 page, which today just says that nothing was found.", "(m/f/d) [hybrid] [studio in the old brewery]", "JavaScript required for two of our 22 micro-sites", "You will write placeholder copy", "Careers", "Details upon application."]
 
