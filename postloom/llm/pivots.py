@@ -132,7 +132,8 @@ class Accepted(NamedTuple):
     """What is kept of the accepted rows: the pivot-distance table and the postings.
 
     ``points``: point, space, text, d (distances to the pivots), class;
-    ``links``: link, class, first; ``counts``: class, host, links (how many links
+    ``links``: link, class, nth, first (a second row of a link brings the class
+    that the first row lacked); ``counts``: class, host, links (how many links
     of a host a class has); ``heads``: class, nth, first.  All four are compact
     and only ever appended to; ``first`` is the ord of a posting's first row.
     """
@@ -178,8 +179,9 @@ def accept(rows: DataFrame, before: Accepted | None = None) -> tuple[DataFrame,
     Rows of one link are one posting.  Postings meet by wording only where
     their links cannot be compared: of the links of one host within a wording
     class the n-th joins the n-th of each other host, and rows without link
-    join the first.  Hot links and wordings are aggregated to one row before
-    anything is sorted or joined.
+    join the first.  A link accepted without wording takes the class of the first
+    row that brings one, with its own first row.  Hot links and wordings are
+    aggregated to one row before anything is sorted or joined.
     """
     rows = cut(
         rows.withColumn("link", F.when(F.col("host").isNotNull(), F.concat_ws("\x1f", "host", "tenant", "code")))
@@ -196,9 +198,15 @@ def accept(rows: DataFrame, before: Accepted | None = None) -> tuple[DataFrame,
     with_class = rows.select("ord", "host", "link", "point").join(classes, "point", "left")
     by_link = with_class.filter("link is not null").groupBy("link", "host").agg(F.min("ord").alias("first_ord"), F.min(F.when(F.col("class").isNotNull(), F.struct("ord", "class"))).alias("w"))
     seen = by_link.select("link", "host", "first_ord", F.col("w.class").alias("class"))
-    unseen = seen.join(before.links.select("link"), "link", "left_anti") if before else seen
+    if before:
+        stored = before.links.join(seen.select("link"), "link", "left_semi").groupBy("link").agg(F.max("class").alias("old"), F.max("nth").alias("old_nth"), F.min("first").alias("old_first"))
+        seen = seen.join(stored, "link", "left")
+    else:
+        seen = seen.withColumns({"old": F.lit(None).cast("string"), "old_nth": F.lit(None).cast("long"), "old_first": F.lit(None).cast(rows.schema["ord"].dataType)})
+    seen = cut(seen)
     # numbered over the whole order and then within the group, so that no task holds a whole hot class
-    placed = with_position(unseen.filter("class is not null"), ["class", "host", "first_ord"], "place")
+    named = seen.filter("old is null and class is not null").select("link", "host", "class", F.coalesce("old_first", "first_ord").alias("first_ord"))
+    placed = with_position(named, ["class", "host", "first_ord"], "place")
     start = placed.groupBy("class", "host").agg(F.min("place").alias("start"))
     ranked = placed.join(start, ["class", "host"]).withColumn("nth", F.col("place") - F.col("start") + 1).drop("place", "start")
     if before:
@@ -207,14 +215,16 @@ def accept(rows: DataFrame, before: Accepted | None = None) -> tuple[DataFrame,
     bare = with_class.filter("link is null and class is not null").groupBy("class").agg(F.min("ord").alias("first"))
     parts = ranked.select("class", "nth", F.col("first_ord").alias("first")).unionByName(bare.select("class", F.lit(1).cast("long").alias("nth"), "first"))
     heads = cut((parts.unionByName(before.heads) if before else parts).groupBy("class", "nth").agg(F.min("first").alias("first")))
-    new_links = cut(
-        ranked.join(heads, ["class", "nth"])
-        .select("link", "class", "first")
-        .unionByName(unseen.filter("class is null").select("link", F.lit(None).cast("string").alias("class"), F.col("first_ord").alias("first")))
+    placed_links = ranked.select("link", "class", "nth", F.lit(True).alias("new")).unionByName(seen.filter("old is not null").select("link", F.col("old").alias("class"), F.col("old_nth").alias("nth"), F.lit(False).alias("new")))
+    nameless = seen.filter("old is null and class is null").select(
+        "link", F.lit(None).cast("string").alias("class"), F.lit(None).cast("long").alias("nth"), F.col("old_first").isNull().alias("new"), F.coalesce("old_first", "first_ord").alias("first")
     )
-    links = new_links.unionByName(before.links) if before else new_links
+    homes = cut(placed_links.join(heads, ["class", "nth"]).unionByName(nameless))
+    links = homes.filter("new").drop("new")
+    if before:
+        links = links.unionByName(before.links)
     found = (
-        rows.filter("link is not null").select("ord", "link").join(links.select("link", "first"), "link").select("ord", "first")
+        rows.filter("link is not null").select("ord", "link").join(homes.select("link", "first"), "link").select("ord", "first")
         .unionByName(with_class.filter("link is null and class is not null").select("ord", "class").join(heads.filter("nth = 1"), "class").select("ord", "first"))
         .unionByName(with_class.filter("link is null and class is null").select("ord", F.col("ord").alias("first")))
     )

@@ -73,6 +73,33 @@ def test_one_pass_equals_batch_by_batch(spark, tmp_path):
     assert found.count() == 0
 
 
+def test_known_link_takes_a_later_wording(spark):
+    batches = [
+        [(1, "h", "t", "1", None, None), (2, "h", "t", "2", None, None)],
+        [(3, "h", "t", "1", "s", ""), (4, None, None, None, "s", ""), (5, "h", "t", "2", None, None)],
+        [(6, "g", "", "9", "s", ""), (7, None, None, None, "s", ""), (8, "h", "t", "1", "q", ""), (9, None, None, None, "q", ""), (10, "h", "t", "2", "r", "")],
+    ]
+    kept, got = None, {}
+    for batch in batches:
+        found, kept = pivots.accept(spark.createDataFrame(batch, COLUMNS), kept)
+        got |= {r.ord: r.first for r in found.collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 1, 5: 2, 6: 1, 7: 1, 8: 1, 9: 9, 10: 2}
+
+
+def test_batches_with_late_wordings_equal_one_pass_so_far(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(120):
+        host, k = rng.choice(["h", "g", None]), rng.randrange(25)
+        says = rng.random() < 0.5
+        rows.append((i, host, "t" if host else None, str(k) if host else None, f"s{k}" if says else None, "" if says else None))
+    kept = None
+    for start, end in ((0, 50), (50, 51), (51, 90), (90, 120)):
+        found, kept = pivots.accept(spark.createDataFrame(rows[start:end], COLUMNS), kept)
+        so_far = firsts(spark, rows[:end])
+        assert {r.ord: r.first for r in found.collect()} == {i: so_far[i] for i in range(start, end)}
+
+
 def test_near_pairs_against_brute_force(spark):
     rng = random.Random(3)
     words = ["".join(rng.choice("abc ") for _ in range(rng.randrange(3, 14))) for _ in range(60)]
