@@ -60,11 +60,12 @@ TRUSTED = (
     r"|(?i:you are not a robot|checking your browser|session has expired|sitzung abgelaufen|resource has been blocked|page not found|seite nicht gefunden|page introuvable|página no encontrada|something went wrong|no longer here)"
 )
 TRUSTED_PATTERN = re.compile(TRUSTED)
-# Words without which no trusted pattern matches outside brackets.
+# Words (also as parts of longer ones) without which no trusted pattern matches outside brackets.
 TRIGGERS = frozenset(
     ("#code #hex lorem ipsum dolor dolum amet xxx todo undefined goes replace delete publish untitled sample javascript scripts js http error status ray oops gateway upstream typeerror template "
      "unavailable internal requests denied robot checking expired abgelaufen blocked found gefunden introuvable encontrada wrong longer service").split()
 )
+TRIGGER_PARTS = tuple(w for w in TRIGGERS if w[0] != "#")
 SLOT_SIGN = re.compile(r"[{\[<@_%#~«$]")
 SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 #: The customary note on gender, no word of its own.
@@ -135,8 +136,8 @@ class Model:
     def residue(self, passage: str, slot: bool) -> bool:
         """Whether a passage is residue; trusted passages keep their label.
 
-        The trusted patterns are tried only where one of their words (or a
-        bracket) stands, for nothing else can match.
+        The trusted patterns are tried only where one of their words, alone or
+        in a longer one, or a bracket's sign stands, for nothing else can match.
         """
         if slot:
             return self.odds(passage, True) > THRESHOLD or bool(TRUSTED_PATTERN.search(passage))
@@ -144,7 +145,9 @@ class Model:
         get = self.weights.get
         if self.text_prior + sum([get(f, 0.0) for f in found]) > THRESHOLD:
             return True
-        return not TRIGGERS.isdisjoint(found) and bool(TRUSTED_PATTERN.search(passage))
+        low = passage.lower()
+        may_match = not TRIGGERS.isdisjoint(found) or SLOT_SIGN.search(passage) or any(w in low for w in TRIGGER_PARTS)
+        return bool(may_match and TRUSTED_PATTERN.search(passage))
 
     def flags(self, line: str) -> bool:
         """Whether a passage of the line is residue."""

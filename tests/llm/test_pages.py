@@ -71,6 +71,14 @@ def test_residue_learns_slots_and_spares_talk():
     assert [x for x in GOOD if model.flags(x)] == []
 
 
+def test_trusted_patterns_need_no_trigger_word():
+    model = r.Model(-1.0, -1.0, {})
+    cut_off = ["Join {{company", "Join {%company", "Join ${company", "<%= job.summary", "@@TITLE", "Join [[company", "<INSERT name", "[insert name", "[add name", "[Company name", "[intitulé", "<Enter name"]
+    longer = ["TypeErrors in line 3", "NextJS support is off"]
+    assert [x for x in cut_off + longer if not model.flags(x)] == []
+    assert [x for x in GOOD if model.flags(x)] == []
+
+
 def test_residue_rows(spark):
     model = r.fit(*sample(20))
     rows = spark.createDataFrame([(1, BAD[0], None), (2, None, "fine\n" + BAD[2]), (3, GOOD[4], GOOD[0]), (4, None, None), (5, "", "x " * 30_000), (1, BAD[0], None)], "row_id long, title string, description string").selectExpr("*", "1 as spot", "2 as other")
