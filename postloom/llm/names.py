@@ -10,8 +10,9 @@ that lacks a part then joins the only cluster it fits.
 
 from __future__ import annotations
 
+import operator
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pandas as pd
@@ -158,7 +159,9 @@ def block_keys(form: Form) -> list[str]:
 
     A slip touches one word, or one end of a long word, so each word (or each
     end) is a block of its own; common given names make no block.  Words that
-    may run together are blocked by the ends of their sequence as well.
+    may run together are blocked by the ends of their sequence as well.  Phonetic
+    codes miss slips in short words, so words and sequences also meet by their
+    spellings with one letter left out, which any single slip leaves in common.
     """
     out = []
     for word in form.words:
@@ -174,6 +177,10 @@ def block_keys(form: Form) -> list[str]:
         out += [f"<<{phonetic(names[0] if names else form.words[0])[:4]}"]
     if len(names) == 2:
         out += [f"<<{phonetic(''.join(p))[:4]}" for p in (names, names[::-1])]
+    spelt = names or list(form.words)
+    if complete(form):
+        spelt = [*spelt, "".join(form.words), "".join(form.words[::-1])]
+    out += [f"~{x}" for word in spelt if len(word) >= 4 for x in (word, *(word[:i] + word[i + 1 :] for i in range(len(word))))]
     return list(dict.fromkeys(out))
 
 
@@ -203,14 +210,14 @@ def same_organisation(a: Form, b: Form) -> bool:
     return a.line == b.line and same_words(a.words, b.words)
 
 
-def fits(part: Form, whole: Form) -> bool:
-    """Whether a form that lacks something may stand for a complete one."""
+def fits(part: Form, whole: Form, same: Callable[[str, str], bool] = alike) -> bool:
+    """Whether a form that lacks something may stand for a complete one; ``same`` compares words."""
     if part.line and part.line != whole.line:
         return False
     if part.initial:
         rest = list(whole.words)
         for w in part.words:
-            hit = next((x for x in rest if alike(w, x)), None)
+            hit = next((x for x in rest if same(w, x)), None)
             if hit is None:
                 return False
             rest.remove(hit)
@@ -220,10 +227,10 @@ def fits(part: Form, whole: Form) -> bool:
         if word in NICKNAMES:
             return False
         sequences = ["".join(whole.words), "".join(reversed(whole.words))]
-        if any(alike(word, s) for s in sequences):
+        if any(same(word, s) for s in sequences):
             return True
-        return not part.joined and any(x not in NICKNAMES and alike(word, x) for x in whole.words)
-    return same_words(part.words, whole.words)
+        return not part.joined and any(x not in NICKNAMES and same(word, x) for x in whole.words)
+    return part.words == whole.words or (same is alike and same_words(part.words, whole.words))
 
 
 FORM_COLUMNS = "words array<string>, initial string, line string, joined boolean"
@@ -247,7 +254,8 @@ def _verdicts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for pdf in batches:
         keep = [same_organisation(read(a), read(b)) if w else fits(read(a), read(b)) for a, b, w in zip(pdf["a"], pdf["b"], pdf["both"])]
-        yield pdf[keep]
+        pdf = pdf[keep]
+        yield pdf.assign(exact=[not w and fits(read(a), read(b), operator.eq) for a, b, w in zip(pdf["a"], pdf["b"], pdf["both"])])
 
 
 def link_names(names: DataFrame) -> DataFrame:
@@ -264,14 +272,16 @@ def link_names(names: DataFrame) -> DataFrame:
     left = blocked.select(F.col("form").alias("a"), F.col("whole").alias("wa"), "block")
     right = blocked.filter("whole").select(F.col("form").alias("b"), "block")
     pairs = left.join(right, "block").filter("a <> b and (not wa or a < b)").select("a", "b", F.col("wa").alias("both")).distinct()
-    accepted = cut(pairs.mapInPandas(_verdicts, "a string, b string, both boolean"))
+    accepted = cut(pairs.mapInPandas(_verdicts, "a string, b string, both boolean, exact boolean"))
     clusters = connected_components(accepted.filter("both"))
     wholes = forms.filter("whole").select("form").join(clusters.withColumnRenamed("node", "form"), "form", "left").select("form", F.coalesce("component", "form").alias("organisation"))
+    # a fit letter by letter goes before one with a slip
+    exactly = F.when(F.col("exact"), F.col("organisation"))
     homes = (
         accepted.filter("not both")
         .join(wholes.withColumnRenamed("form", "b"), "b")
         .groupBy("a")
-        .agg(F.min("organisation").alias("organisation"), F.max("organisation").alias("last"))
+        .agg(F.coalesce(F.min(exactly), F.min("organisation")).alias("organisation"), F.coalesce(F.max(exactly), F.max("organisation")).alias("last"))
         .select(F.col("a").alias("form"), F.when(F.col("organisation") == F.col("last"), F.col("organisation")).alias("organisation"), (F.col("organisation") != F.col("last")).alias("unsure"))
     )
     parts = forms.filter("not whole").select("form").join(homes, "form", "left")

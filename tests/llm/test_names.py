@@ -28,6 +28,40 @@ def test_groups(spark):
     assert pairs == want
 
 
+def slips(word):
+    for i in range(len(word)):
+        yield word[:i] + word[i + 1 :]
+        yield word[:i] + "u" + word[i:]
+        yield word[:i] + "x" + word[i + 1 :]
+        if i:
+            yield word[: i - 1] + word[i] + word[i - 1] + word[i + 1 :]
+
+
+def test_any_slip_that_counts_shares_a_block():
+    met = 0
+    for name in ("Elizabeth Vosune Media", "Robert William Studio", "Boda Tralute Press & Print", "Francisco Brustomevi Games", "@elizabethvosune", "E. Vosune Media", "Vosune Media"):
+        for slip in {slip for word in name.split() for slip in (name.replace(word, x) for x in slips(word))} | {name}:
+            a = names.parse_name(slip)
+            for whole in ("Elizabeth Vosune Media", "Robert William Studio", "Boda Tralute Press & Print", "Francisco Brustomevi Games"):
+                b = names.parse_name(whole)
+                if a and (names.same_organisation(a, b) if names.complete(a) else names.fits(a, b)):
+                    met += 1
+                    assert set(names.block_keys(a)) & set(names.block_keys(b)), (slip, whole)
+    assert met > 100
+
+
+def test_slip_in_a_short_family_name(spark):
+    values = ["Elizabeth Vosune Media", "Elizabeth Vsosune Media", "Elizabeth Kadolu Media"]
+    linked = names.link_names(spark.createDataFrame([(v,) for v in values], "name string"))
+    assert [tuple(r) for r in names.name_pairs(linked).collect()] == [tuple(values[:2])]
+
+
+def test_exact_fit_goes_before_a_slip(spark):
+    values = ["Trora Pezeko Design", "Pezeko Design", "Pufo Pereko Design"]
+    linked = names.link_names(spark.createDataFrame([(v,) for v in values], "name string"))
+    assert [tuple(r) for r in names.name_pairs(linked).collect()] == [("Pezeko Design", "Trora Pezeko Design")]
+
+
 def test_empty(spark):
     assert names.name_pairs(names.link_names(spark.createDataFrame([], "name string"))).count() == 0
 
