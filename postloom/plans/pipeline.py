@@ -1,4 +1,4 @@
-"""The whole path from scraped rows to a snapshot, as one plan.
+"""The path from scraped rows to distinct, described postings (stages 1 to 3), as one plan.
 
 Cheap predicates come before the two deduplications, those before any call of
 an enricher; a stored table of pages stands in for fetching.

@@ -776,7 +776,7 @@ def crawl_allowed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def pipeline_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole path over the scraped rows: described, distinct postings of the trade."""
+    """Stages 1 to 3 over the scraped rows, without pages and enricher: described, distinct postings of the trade."""
     from postloom.plans import pipeline
 
     raw = read_table(spark, sf_dir, "raw_jobs").select(F.col("raw_id").alias("row_id"), "title", "url", F.col("location_text").alias("location"), "company", "ats", "source_url", "description", "date_posted").distinct()
