@@ -42,7 +42,7 @@ ODD_VALUE = 2.0
 MAX_STEPS = 3
 #: Bytes a character up to which a line is at home in its declared language; others are measured by all.
 FAMILIAR = 0.4
-#: Misread multi-byte text has at least one in so many characters beyond ASCII.
+#: Misread multi-byte text has at least one in so many characters beyond ASCII, in its line or in its own stretch.
 WIDE_SHARE = 6
 #: Bytes that no compressed line falls below.
 SHORTEST = 9
@@ -142,6 +142,26 @@ def as_wide(line: str, read_as: str, really: str) -> str:
     return "".join(out)
 
 
+def may_be_wide(stretch: str) -> bool:
+    """Whether a stretch between blanks holds signs enough for two misread multi-byte characters."""
+    high = sum(map(len, HIGH.findall(stretch)))
+    return high >= 2 and high * WIDE_SHARE >= len(stretch)
+
+
+def wide_stretches(line: str, read_as: str, really: str) -> str:
+    """The line with the stretches that may be garbled read by a multi-byte encoding, the others as they are.
+
+    A stretch must become Japanese of two signs at least, so that sound words with accents stay.
+    """
+    out = []
+    for stretch in line.split(" "):
+        new = as_wide(stretch, read_as, really) if may_be_wide(stretch) else stretch
+        out.append(new if WIDE_WORD.search(new) and not HALF_WIDTH.search(new) else stretch)
+    return " ".join(out)
+
+
+#: Two Japanese signs together, and the half-width ones that accented letters turn into by chance.
+WIDE_WORD, HALF_WIDTH = re.compile("[぀-ヿ一-鿿]{2}"), re.compile("[｡-ﾟ]")
 #: What decoded text may hold beyond ASCII: Latin, Cyrillic, Japanese, marks, symbols.
 FOREIGN = re.compile("[^\x00-ɏʹ-ͯЀ-ӿ\u2000-\u2bff\u3000-鿿︀-️＀-￯\U0001f000-\U0001faff]")
 #: Scripts run together within one word.
@@ -225,10 +245,11 @@ def candidates(line: str, room: float = float("inf")) -> Iterator[tuple[str, str
         if new != line and plausible(line, new, False):
             mended = len(ODD_CASE.findall(line)) - len(ODD_CASE.findall(new))
             yield f"{read_as}>{really}", new, max(UTF8_COST, OTHER_COST - ODD_VALUE * mended)
-    if len(high) * WIDE_SHARE < len(line):
+    whole = len(high) * WIDE_SHARE >= len(line)
+    if not whole and not any(map(may_be_wide, line.split(" "))):
         return
     for read_as, really in WIDE_PAIRS:
-        new = as_wide(line, read_as, really)
+        new = as_wide(line, read_as, really) if whole else wide_stretches(line, read_as, really)
         if new != line and plausible(line, new, False):
             yield f"{read_as}>{really}", new, OTHER_COST
 

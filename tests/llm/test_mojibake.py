@@ -47,6 +47,13 @@ def test_twice_garbled_and_mixed(judge):
     assert m.restore(text, "de", judge)[0] == "\n".join(SOUND["de"])
 
 
+@pytest.mark.parametrize("right, wrong", [("cp932", "cp1252"), ("euc_jp", "latin-1"), ("euc_jp", "mac_roman")])
+def test_short_japanese_name_in_a_long_line(judge, right, wrong):
+    name = "音光制作協力会社"
+    line = "Track small requests a week without losing icon families for {}, without a café on the corner or a week of small requests, and keep the files tidy for the others"
+    assert m.restore(line.format(garble(name, right, wrong)), "en", judge)[0] == line.format(name)
+
+
 def test_sound_texts_and_mentions_stay(judge):
     for lang, lines in SOUND.items():
         for tag in (lang, None, "en-GB"):
