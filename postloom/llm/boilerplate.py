@@ -1,271 +1,364 @@
 """The main body of a page's text, told from the page around it.
 
 Every description is read as a small tree: lines are paragraphs, runs of lines
-of one kind between blank lines are containers, the page is the root.  A
-paragraph earns points for its length and its commas, discounted by its link
-density, and passes them to its container.  Lines that are links as a whole
-are furniture.  A container at the page's edge that stands against such lines
-without a blank line between belongs to them, whatever its wording or language,
-unless its score stands the comparison with the best container.  Containers
-inside the page and between blank lines are siblings of the body and are kept.
-
-The tables hold text without anchors, so link density is measured against what
-links say: the labels of menus and footers, and the calls of share, sign-up,
-consent and teaser elements, in four languages.
+are containers, the page is the root.  A paragraph earns points for its length
+and its commas, discounted by its link density, and link text costs points.  A
+container has the sum of its paragraphs' points and costs a fixed fee; the best
+container and those siblings that earn their fee are kept, all other lines are
+furniture.  So a heading beside the body stays with it, and the same words
+among menus go with the menus.
+
+Where a page still has its anchors, link density is the share of text inside
+them.  Text that lost them is measured by a model of link text, which is
+learned here from a bounded sample of pages.  It knows what a line looks like
+(words, pairs of words, separators, case, length), and its labels come from the
+pages themselves: lines that say what links of web pages commonly say (a short,
+general list) are trusted links, lines that name the posting's own company or
+run on for long are trusted body, and both labels spread to the lines that
+stand beside them, over all pages of the sample, until each repeated line has
+the share of links in its neighbourhood.  The clear cases teach the model, its
+verdicts in their context make new clear cases, and it learns again.  The list
+itself decides no line: it is not looked at when pages are scored.
 """
 
 from __future__ import annotations
 
-import html
+import json
+import math
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from postloom.llm.aliases import ALIASES
+from postloom.llm.lines import anchor_share, plain
 from postloom.session import spread_out
 
-# Labels of menus and footers, in English, German, French and Spanish.
-LABELS = """
-about; accessibility; affiliates; benefits board; blog; browse roles; careers; companies; contact; cookie settings; cookies; do not sell my data;
-employers; events; faq; for employers; help; home; imprint; jobs; learn; log in; login; log out; menu; my profile; newsletter; portfolio tips; post a job; press;
-press kit; pricing; privacy; privacy policy; register; salary guide; saved searches; search; security; sign in; sign up; sitemap; status; terms; terms of use
-agb; anmelden; barrierefreiheit; cookie-einstellungen; datenschutz; firmen; für arbeitgeber; gehälter; hilfe; impressum; kontakt; magazin; merkliste;
-presse; registrieren; start; stellen; suche; über die börse
-accessibilité; accueil; aide; cgu; confidentialité; connexion; créer un compte; entreprises; favoris; gérer les cookies; le mag; mentions légales; offres; recruteurs; salaires
-accesibilidad; acceder; aviso legal; ayuda; condiciones; configurar cookies; contacto; empleos; empresas; guardados; inicio; para empresas; prensa;
-privacidad; regístrate; sueldos
-en; de; fr; es
+#: Rows of the sample from which link text is learned.
+SAMPLE_ROWS = 8_000
+#: Steps in which the trusted labels spread to neighbours, and rounds of learning.
+SPREAD_STEPS = 30
+ROUNDS = 3
+GRADIENT_STEPS = 120
+RIDGE = 1.0
+#: Lines in which a feature must occur in the sample.
+MIN_LINES = 3
+#: Weights closer to 0 than this are dropped.
+LEAST_WEIGHT = 0.02
+#: Points of a paragraph from which it is trusted body in the sample.
+LONG_POINTS = 1.0
+#: Log odds that a neighbour of the same kind adds to a line while learning.
+NEIGHBOUR = 1.4
+#: Log odds that saying what links commonly say adds when pages are scored.
+TRUST = 2.0
+#: What a line of nothing but link text costs its container, and what a container costs.
+LINK_COST = 1.0
+CONTAINER_FEE = 0.5
+
+# Labels of menus and footers of web pages in English, German, French and Spanish.
+LINK_LABELS = """
+home; menu; search; help; contact; about; blog; events; pricing; privacy; terms; imprint; cookies; log in; login; sign in; sign up; register; sitemap; jobs; companies; for employers; press
+start; suche; hilfe; kontakt; impressum; datenschutz; agb; anmelden; registrieren; stellen; firmen; für arbeitgeber; presse
+accueil; recherche; aide; contact; connexion; confidentialité; mentions légales; cgu; offres; entreprises; recruteurs
+inicio; buscar; ayuda; contacto; acceder; regístrate; privacidad; aviso legal; empleos; empresas; prensa
 """
-# What furniture says; a line that one of these opens is a link or a notice as a whole.
-CALLS = r"""
-skip to (?:main )?content
-zum inhalt springen
-aller au contenu
-saltar al contenido
-back to (?:top|all)\b
-nach oben\b
-haut de page
-volver (?:arriba|a las \d)
-zurück zu \d
-retour aux \d
-you are here:
-sie sind hier:
-vous êtes ici
-estás aquí
-posted \d+ (?:days?|hours?|weeks?) ago
-vor \d+ tagen veröffentlicht
-publiée il y a
-publicado hace
-\d[\d.,]* people applied
-\d[\d.,]* views
-version \d+\.\d+
-search jobs
-suche nach stellen
-rechercher une offre
-buscar empleo
-advertisement$
-sponsored$
-anzeige$
-publicité$
-publicidad$
-similar jobs$
-you may also like
-others near you
-fresh this week
-because you viewed
-more from this employer
-people also viewed
-top searches
-loading similar
-ähnliche stellen
-auch interessant
-mehr von diesem
-offres (?:similaires|proches)
-à voir aussi
-empleos parecidos
-también te puede
-más de esta empresa
-plus de cet employeur
-get jobs like this
-recevoir des offres
-recibe empleos
-join \d[\d.,]* subscribers
-\d[\d.,]* abonnenten
-rejoignez \d
-únete a \d
-new here\?
-neu hier\?
-hi guest
-create a free account
-get the \w+ app
-upgrade to \w+ plus
-is your portfolio ready
-was this page helpful
-share this job
-stelle teilen
-teilen:
-partager\s*:
-compartir\s*:
-save job
-stelle merken
-enregistrer ☆
-guardar ☆
-follow \w+ on lumagram
-folge \w+ auf lumagram
-suivez \w+ sur lumagram
-sigue a \w+ en lumagram
-\w+ is where \d+ studios
-\w+: \d[\d.,]* creative jobs
-part of the \w+ network
-© ?\d{4}
-your privacy matters
-by staying on this site
-we and our \d+ partners
-this website saves identifiers
-\w+ uses cookies
-\w+ nutzt cookies
-\w+ (?:utilise|dépose) des cookies
-\w+ usa cookies
-wir und \d+ partner
-avec nos \d+ partenaires
-nosotros y \d+ socios
-accept all cookies
+# What notices, prompts and links of web pages and job boards commonly say.
+LINK_CALLS = r"""
+skip to (?:main )?content|zum inhalt springen|aller au contenu|saltar al contenido
+back to (?:top|all|search)|nach oben|zurück zu|haut de page|retour aux|volver (?:arriba|a l)
+©|all rights reserved|alle rechte vorbehalten|tous droits réservés|todos los derechos|registered office
+(?:uses?|accept|about) cookies|nutzt cookies|des cookies|usa cookies|your privacy|in your browser|on this site|on your device|auf deinem gerät|en tu dispositivo|audience
+sign in|sign up|log in|create (?:a |an |your )?(?:free )?account|profile$|get the .* app$
+subscribers|subscribe|newsletter abonnieren|abonnenten|abonnés|suscriptores
+share this|teilen:|stelle teilen|partager|compartir|save job|report job|follow .* on
+^(?:advertisement|sponsored|anzeige|publicité|publicidad)$
+because you|near you|this week|similar jobs|(?:also|may) (?:viewed|like)|ähnliche stellen|auch interessant|offres similaires|voir aussi|empleos parecidos|te puede gustar|^more from
+posted \d+|\d views|people applied|aufrufe|vues$|visitas$|helpful\?|version \d
+search jobs|suche nach|rechercher|buscar empleo
 """
-# Last words of company names in teasers of other postings.
-COMPANY_ENDS = "Animation|Collective|Design|Games|Interactive|Media|Pictures|Press & Print|Productions|Publishing|Records|Studio|Type Foundry|Workshop"
 
-TAG = re.compile(r"</?(?:p|span|div|li|ul|ol|br|a|b|i|em|strong|h[1-6]|nav|section|article|header|footer|table|tr|td|th)\b[^<>]*>", re.I)
-LABEL_SET = frozenset(x.strip() for x in re.split(r"[;\n]", LABELS) if x.strip())
-CALL = re.compile(r"[\s←→‹›«»•*·-]*(?:" + "|".join(x for x in CALLS.strip().splitlines()) + ")", re.I)
+LABEL_SET = frozenset(x.strip() for x in re.split(r"[;\n]", LINK_LABELS) if x.strip())
+CALL = re.compile("|".join(LINK_CALLS.strip().splitlines()))
 MENU_CUT = re.compile(r"\s*[|·•/›>»]\s*|\s{2,}")
-TRAIL_CUT = re.compile(r"\s+(?:[›>»/]|::|->|→)\s+")
-LONGEST_LABEL = max(len(x.split()) for x in LABEL_SET)
-#: A container at the page's edge stays from this share of the best one's score.
-MIN_SHARE = 0.1
-#: Points beyond which a longer body asks no more of the containers beside it.
-ENOUGH = 20
-
-
-@lru_cache(maxsize=1)
-def role_pattern() -> str:
-    """Alternation of the reference titles and their other names."""
-    names = {n for name, others in ALIASES["title"].items() for n in [name, *others]}
-    return "(?:" + "|".join(sorted(map(re.escape, names), key=len, reverse=True)) + ")"
-
-
-@lru_cache(maxsize=1)
-def teaser() -> re.Pattern:
-    """Another posting in one line: role with company, place or age, and nothing else."""
-    role, company, place = role_pattern(), rf"[A-Z][\w'’-]+(?: [A-Z][\w'’-]+)?(?: (?:{COMPANY_ENDS}))", r"[A-ZŁÅ][\w'’-]+(?: [A-Z][\w'’-]+)?"
-    words = r"[A-ZÀ-Ž0-9][\w/-]*(?: (?:of |for )?[A-Z(][\w()/-]*){0,3}"
-    return re.compile(
-        rf"{words}\s+[–|-]\s+{company}\s+[–|-]\s+{place}|{words} / {place}"
-        rf"|{company}\s*: {role}|{role} (?:at|bei|chez|en) {company}|{role}\s+[–|-]\s+{company}\s+[–|-]\s+{place}"
-        rf"|{role} \({place}, \d+ ?d(?:ays?)? ago\)|{role} \({place}, (?:vor|hace|il y a) [^)]*\)|{place} \| {role}|{role} \| {place}|{role} / {place}|{place} / {role}"
-    )
-
-
-def plain(line: str) -> str:
-    """A line's text without tags and entities."""
-    if "<" in line:
-        line = TAG.sub("", line)
-    if "&" in line:
-        line = html.unescape(line)
-    return line.replace("\r", "").strip()
-
-
-def _all_labels(words: list[str]) -> bool:
-    """Whether a run of words is nothing but labels, one after another."""
-    i = 0
-    while i < len(words):
-        for n in range(min(LONGEST_LABEL, len(words) - i), 0, -1):
-            if " ".join(words[i : i + n]) in LABEL_SET:
-                i += n
-                break
-        else:
-            return False
-    return True
-
-
-def link_density(text: str) -> float:
-    """Share of a line that is link text: 1 for menus, calls and teasers."""
+SEPARATORS = "|·/•›>–-:"
+TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]")
+DIGITS = re.compile(r"\d+")
+NO_LETTER = re.compile(r"[\W\d_]+")
+
+
+def trusted_link(text: str) -> bool:
+    """Whether a line says what links commonly say; labels must make up half of its pieces."""
     low = text.lower()
-    if CALL.match(low) or teaser().fullmatch(text):
-        return 1.0
-    if _all_labels(low.split()):
-        return 1.0
-    if len(low) <= 120:
-        pieces = [p for p in MENU_CUT.split(low.strip(" |·•/")) if p]
-        hits = [p for p in pieces if _all_labels(p.split())]
-        if len(pieces) > 1 and len(hits) == len(pieces):
-            return 1.0
-        steps = TRAIL_CUT.split(low)
-        if len(steps) > 2 and steps[0] in LABEL_SET:
-            return 1.0
-        return sum(map(len, hits)) / max(1, len(low)) if len(pieces) > 1 else 0.0
-    return 0.0
-
-
-def points(text: str, density: float) -> float:
-    """What a paragraph passes up: length and commas, discounted by link density."""
-    return (1 + min(len(text) / 100, 3) + text.count(",") + text.count(";")) * (1 - density)
-
-
-def furniture_lines(description: str | None, density=link_density) -> list[int]:
-    """Numbers (from 1) of the lines that are page furniture; blank lines are none."""
+    if CALL.search(low):
+        return True
+    pieces = [p for p in MENU_CUT.split(low.strip(" |·•/")) if p]
+    hits = sum(p in LABEL_SET for p in pieces)
+    return hits > 0 and 2 * hits >= len(pieces)
+
+
+def points(text: str) -> float:
+    """What a paragraph without links passes up: for its length and its commas."""
+    return 1 + min(len(text) / 100, 3) + (text.count(",") + text.count(";")) / 4
+
+
+def features(text: str) -> list[str]:
+    """How a line looks: its words and pairs of them, length, ends, case and separators; a short one as a whole."""
+    words = ["#" if w[0].isdigit() else w for w in TOKEN.findall(text.lower())]
+    if not words:
+        return ["none"]
+    count, edged = len(words), ["^", *words, "$"]
+    out = set(words)
+    out.update([f"{a} {b}" for a, b in zip(edged, edged[1:])])
+    out.add(f"n:{count if count < 4 else 4 + min(8, (count - 4) // 4)}")
+    out.add("e:" + ("a" if text[-1].isalnum() else text[-1]))
+    out.add("b:" + ("A" if text[0].isupper() else "a" if text[0].isalpha() else text[0]))
+    spelt = [w for w in text.split() if w[0].isalpha()]
+    out.add(f"c:{4 * sum(w[0].isupper() for w in spelt) // max(1, len(spelt))}")
+    if count <= 12:
+        out.add("=" + " ".join(words))
+    out.update([f"s:{s}" for s in SEPARATORS if f" {s} " in text])
+    return sorted(out)
+
+
+class Own(NamedTuple):
+    """What a line must hold, or be, to speak of the posting itself."""
+
+    company: str
+    facts: frozenset[str]
+
+    @classmethod
+    def of(cls, company: str | None = None, *facts: str | None) -> Own:
+        key = NO_LETTER.sub("", (company or "").lower())[:8]
+        return cls(key if len(key) >= 5 else "", frozenset(x.strip().lower() for x in facts if x and x.strip()))
+
+    def says(self, text: str) -> bool:
+        low = text.lower()
+        if self.company and self.company[:3] in low and self.company in NO_LETTER.sub("", low):
+            return True
+        return low in self.facts
+
+
+class LinkModel:
+    """Log odds that a line is link text: weights of its features, and of speaking of the posting."""
+
+    def __init__(self, weights: dict[str, float], bias: float = 0.0, own: float = 0.0):
+        self.weights, self.bias, self.own = weights, bias, own
+
+    def odds(self, text: str) -> float:
+        """Log odds of a line that does not speak of the posting.
+
+        A model that could learn nothing (hardly any lines) takes the trusted
+        links for links and all else for text.
+        """
+        if not self.weights:
+            return 4.0 if trusted_link(text) else -4.0
+        known = [self.weights[f] for f in features(text) if f in self.weights]
+        return self.bias + (sum(known) / math.sqrt(len(known)) if known else 0.0) + (TRUST if trusted_link(text) else 0.0)
+
+    def density(self, text: str, own: bool = False) -> float:
+        return 1 / (1 + math.exp(-min(30.0, max(-30.0, self.odds(text) + (self.own if own else 0.0)))))
+
+    def save(self, path: str) -> None:
+        with open(path, "w", encoding="utf-8") as file:
+            json.dump([self.weights, self.bias, self.own], file, ensure_ascii=False)
+
+    @classmethod
+    def load(cls, path: str) -> LinkModel:
+        with open(path, encoding="utf-8") as file:
+            return cls(*json.load(file))
+
+
+def _regress(rows: list[np.ndarray], own: np.ndarray, count: np.ndarray, share: np.ndarray, width: int) -> tuple[np.ndarray, float, float]:
+    """Logistic regression of the share of links on features (mean-like sums), by adaptive gradient steps."""
+    at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    what = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64)
+    norm = 1 / np.sqrt(np.maximum(1, np.bincount(at, minlength=len(rows))))
+    weight, bias, own_weight = np.zeros(width), 0.0, 0.0
+    seen, seen_bias, seen_own = np.full(width, 1e-8), 1e-8, 1e-8
+    for _ in range(GRADIENT_STEPS):
+        z = np.bincount(at, weight[what], len(rows)) * norm + bias + own_weight * own
+        error = count * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - share)
+        slope = np.bincount(what, (error * norm)[at], width) + RIDGE * weight
+        seen += slope * slope
+        weight -= slope / np.sqrt(seen)
+        s, o = error.sum(), (error * own).sum()
+        seen_bias, seen_own = seen_bias + s * s, seen_own + o * o
+        bias, own_weight = bias - 0.5 * s / math.sqrt(seen_bias), own_weight - 0.5 * o / math.sqrt(seen_own)
+    return weight, bias, own_weight
+
+
+def fit(pages: Iterable[list[tuple[str, bool]]]) -> LinkModel:
+    """Learn link text from pages, each a list of (text, whether it speaks of the posting).
+
+    Digits do not matter and equal lines share what is learned of them.  Pages
+    without lines teach nothing; without trusted lines of both kinds the model
+    is empty.
+    """
+    index: dict[str, int] = {}
+    ids: dict[str, int] = {}
+    rows: list[np.ndarray] = []
+    link, long, line, own, first, last = [], [], [], [], [], []
+    for page in pages:
+        for k, (text, mine) in enumerate(page):
+            shape = DIGITS.sub("#", text)
+            j = ids.get(shape)
+            if j is None:
+                j = ids[shape] = len(rows)
+                rows.append(np.array([index.setdefault(f, len(index)) for f in features(shape)], dtype=np.int64))
+                # the list names figures, so it is asked about the text as it stands
+                link.append(trusted_link(text))
+                long.append(points(text) > 1 + LONG_POINTS)
+            line.append(j)
+            own.append(mine)
+            first.append(k == 0)
+            last.append(k == len(page) - 1)
+    if not line:
+        return LinkModel({})
+    lines, mine = np.array(line), np.array(own)
+    n, kinds = len(lines), 2 * len(rows)
+    is_link = np.array(link)[lines] & ~mine
+    is_body = mine | (np.array(long)[lines] & ~is_link)
+    if not is_link.any() or not is_body.any():
+        return LinkModel({})
+    here = np.arange(n)
+    before, after = np.where(first, here + 1, here - 1), np.where(last, here - 1, here + 1)
+    lone = np.array(first) & np.array(last)
+    before, after = np.where(lone, here, before), np.where(lone, here, after)
+    kind = lines * 2 + mine
+    times = np.maximum(1, np.bincount(kind, minlength=kinds))
+    # the trusted labels spread: a repeated line takes the mean of its neighbours everywhere
+    base = is_link.mean() / (is_link.mean() + is_body.mean())
+    belief = np.full(n, base)
+    for _ in range(SPREAD_STEPS):
+        belief = np.where(is_link, 1.0, np.where(is_body, 0.0, belief))
+        belief = (np.bincount(kind, 0.5 * (belief[before] + belief[after]), kinds) / times)[kind]
+    high, low = base + 0.3 * (1 - base), 0.7 * base
+    occurs = np.bincount(np.concatenate(rows), minlength=len(index))
+    kept = [r[occurs[r] >= min(MIN_LINES, max(1, len(rows) // 100))] for r in rows]
+    weight, bias, own_weight = np.zeros(len(index)), 0.0, 0.0
+    for _ in range(ROUNDS):
+        links = ((belief >= high) & ~is_body) | (is_link & (belief > low))
+        clear = links | ((belief <= low) & ~is_link) | is_body
+        names, at = np.unique(kind[clear], return_inverse=True)
+        count = np.bincount(at).astype(float)
+        share = np.bincount(at, links[clear].astype(float)) / count
+        weight, bias, own_weight = _regress([kept[k // 2] for k in names], (names % 2).astype(float), np.sqrt(count), share, len(index))
+        z = np.array([weight[r].sum() / math.sqrt(max(1, len(r))) for r in kept])[lines] + bias + own_weight * mine
+        push = np.tanh(np.clip(z, -6, 6) / 2)
+        belief = 1 / (1 + np.exp(-np.clip(z, -6, 6) - NEIGHBOUR * (push[before] + push[after])))
+        belief = (np.bincount(kind, belief, kinds) / times)[kind]
+        high, low = 0.8, 0.2
+    return LinkModel({f: round(float(weight[i]), 4) for f, i in index.items() if abs(weight[i]) >= LEAST_WEIGHT}, bias, own_weight)
+
+
+def body_lines(scores: list[float], fee: float = CONTAINER_FEE) -> list[bool]:
+    """Which lines the best container and its paying siblings hold.
+
+    The kept runs are those whose points less their fees are most in all; the
+    first of them is the best container.  Exact, in one pass over the page.
+    """
+    out_best, in_best = 0.0, -fee
+    steps = []
+    for s in scores:
+        stay_out, stay_in = out_best >= in_best, in_best >= out_best - fee
+        steps.append((stay_out, stay_in))
+        out_best, in_best = max(out_best, in_best), max(in_best, out_best - fee) + s
+    keep, inside = [], in_best > out_best
+    for stay_out, stay_in in reversed(steps):
+        keep.append(inside)
+        inside = stay_in if inside else not stay_out
+    return keep[::-1]
+
+
+def furniture_lines(description: str | None, model: LinkModel, own: Own = Own("", frozenset()), cache: dict | None = None) -> list[int]:
+    """Numbers (from 1) of the lines that are page furniture; blank lines are none.
+
+    Error messages and template residue are no furniture wherever they stand.
+    """
     from postloom.llm.residue import TRUSTED_PATTERN
 
     if not description:
         return []
-    # a container: its block between blank lines, whether it is links, its lines and its points
-    containers: list[list] = []
-    block = 0
-    for number, line in enumerate(description.split("\n"), 1):
-        text = plain(line)
+    numbers, texts, scores = [], [], []
+    for number, raw in enumerate(description.split("\n"), 1):
+        known = cache.get(raw) if cache is not None else None
+        if known is None:
+            text = plain(raw)
+            known = (text, points(text) if text else 0.0, model.odds(text) if text else 0.0, anchor_share(raw))
+            if cache is not None:
+                if len(cache) > 200_000:
+                    cache.clear()
+                cache[raw] = known
+        text, worth, odds, linked = known
         if not text:
-            block += 1
             continue
-        d = density(text)
-        linky = d >= 0.5
-        if not containers or containers[-1][:2] != [block, linky]:
-            containers.append([block, linky, [], 0.0])
-        containers[-1][2].append((number, text))
-        containers[-1][3] += points(text, d)
-    out = [n for _, linky, lines, _ in containers if linky for n, _ in lines]
-    bar = MIN_SHARE * min(ENOUGH, max((score for _, linky, _, score in containers if not linky), default=0.0))
-    for (block, linky, lines, score), beside in zip(containers[:1] + containers[-1:], containers[1:2] + containers[-2:-1]):
-        if not linky and beside[:2] == [block, True] and score < bar:
-            out += [n for n, text in lines if not TRUSTED_PATTERN.search(text)]
-    return sorted(out)
+        if own.says(text):
+            odds += model.own
+        density = max(linked, 1 / (1 + math.exp(-min(30.0, max(-30.0, odds)))))
+        numbers.append(number)
+        texts.append(text)
+        scores.append(worth * (1 - density) - LINK_COST * density)
+    keep = body_lines(scores)
+    return [n for n, text, k in zip(numbers, texts, keep) if not k and not TRUSTED_PATTERN.search(text)]
+
+
+ROW_COLUMNS = ("row_id", "description", "company", "city", "work_type")
 
 
-def _found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cached = lru_cache(maxsize=200_000)(link_density)
-    for pdf in batches:
-        keys, numbers = [], []
-        for key, text in zip(pdf["row_id"], pdf["description"]):
-            found = furniture_lines(text, cached)
-            keys += [key] * len(found)
-            numbers += found
-        yield pd.DataFrame({"row_id": pd.Series(keys, dtype="int64"), "line_no": pd.Series(numbers, dtype="int32")})
+def _needed(rows: DataFrame) -> DataFrame:
+    """The columns that are read; those of the posting's own facts may be missing."""
+    return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ROW_COLUMNS]).filter("description is not null")
 
 
-def furniture(rows: DataFrame) -> DataFrame:
+def fit_sample(rows: DataFrame) -> LinkModel:
+    """The model of link text of a bounded sample of rows, the same for the same table.
+
+    A hash of the row's number decides, against the table's count, so about
+    ``SAMPLE_ROWS`` rows come to the driver at every size.
+    """
+    pages = _needed(rows)
+    count = max(1, pages.count())
+    spot = F.pmod(F.xxhash64("row_id"), F.lit(1_000_003)) / 1_000_003.0
+    taken = pages.filter(spot < SAMPLE_ROWS / count).orderBy("row_id", "description").limit(2 * SAMPLE_ROWS)
+
+    def read() -> Iterator[list[tuple[str, bool]]]:
+        for r in taken.toPandas().itertuples(index=False):
+            own = Own.of(r.company, r.city, r.work_type)
+            yield [(t, own.says(t)) for t in map(plain, r.description.split("\n")) if t]
+
+    return fit(read())
+
+
+def furniture(rows: DataFrame, model: LinkModel | None = None) -> DataFrame:
     """(row_id, line_no) of each furniture line of ``description``.
 
-    A row without description gives nothing; repeated rows repeat their lines;
-    very long texts are read whole, line by line.  No shuffle is needed beyond
-    spreading a small table.
+    ``company``, ``city`` and ``work_type`` tell, where the table has them,
+    which lines speak of the posting.  A row without description gives nothing;
+    repeated rows repeat their lines; very long texts are read whole, line by
+    line.  No shuffle is needed beyond spreading a small table.
     """
-    return spread_out(rows.select("row_id", "description").filter("description is not null")).mapInPandas(_found, "row_id long, line_no int")
+    model = model or fit_sample(rows)
+    shared = rows.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.own))
+
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        judge, cache = LinkModel(*shared.value), {}
+        for pdf in batches:
+            keys, numbers = [], []
+            for r in pdf.itertuples(index=False):
+                hits = furniture_lines(r.description, judge, Own.of(r.company, r.city, r.work_type), cache)
+                keys += [r.row_id] * len(hits)
+                numbers += hits
+            yield pd.DataFrame({"row_id": pd.Series(keys, dtype="int64"), "line_no": pd.Series(numbers, dtype="int32")})
+
+    return spread_out(_needed(rows)).mapInPandas(found, "row_id long, line_no int")
 
 
-def body_text(description: str | None) -> str | None:
+def body_text(description: str | None, model: LinkModel, own: Own = Own("", frozenset())) -> str | None:
     """The description without its furniture; null stays null."""
     if description is None:
         return None
-    drop = set(furniture_lines(description))
+    drop = set(furniture_lines(description, model, own))
     return "\n".join(line for n, line in enumerate(description.split("\n"), 1) if n not in drop)

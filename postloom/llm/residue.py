@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postloom.llm.boilerplate import plain
+from postloom.llm.lines import plain
 from postloom.session import spread_out
 
 #: Bounds of the sample on which the model is fitted: rows that are looked
