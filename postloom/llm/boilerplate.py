@@ -65,23 +65,24 @@ start; suche; hilfe; kontakt; impressum; datenschutz; agb; anmelden; registriere
 accueil; recherche; aide; contact; connexion; confidentialité; mentions légales; cgu; offres; entreprises; recruteurs
 inicio; buscar; ayuda; contacto; acceder; regístrate; privacidad; aviso legal; empleos; empresas; prensa
 """
-# What notices, prompts and links of web pages and job boards commonly say.
-LINK_CALLS = r"""
-skip to (?:main )?content|zum inhalt springen|aller au contenu|saltar al contenido
-back to (?:top|all|search)|nach oben|zurück zu|haut de page|retour aux|volver (?:arriba|a l)
-©|all rights reserved|alle rechte vorbehalten|tous droits réservés|todos los derechos|registered office
-(?:uses?|accept|about) cookies|nutzt cookies|des cookies|usa cookies|your privacy|in your browser|on this site|on your device|auf deinem gerät|en tu dispositivo|audience
-sign in|sign up|log in|create (?:a |an |your )?(?:free )?account|profile$|get the .* app$
-subscribers|subscribe|newsletter abonnieren|abonnenten|abonnés|suscriptores
-share this|teilen:|stelle teilen|partager|compartir|save job|report job|follow .* on
-^(?:advertisement|sponsored|anzeige|publicité|publicidad)$
-because you|near you|this week|similar jobs|(?:also|may) (?:viewed|like)|ähnliche stellen|auch interessant|offres similaires|voir aussi|empleos parecidos|te puede gustar|^more from
-posted \d+|\d views|people applied|aufrufe|vues$|visitas$|helpful\?|version \d
-search jobs|suche nach|rechercher|buscar empleo
+# What notices, prompts and links of web pages and job boards commonly say, anywhere in a line.
+LINK_CALLS = """
+skip to content; skip to main content; zum inhalt springen; aller au contenu; saltar al contenido
+back to top; back to all; back to search; nach oben; zurück zu; haut de page; retour aux; volver arriba; volver a l
+©; all rights reserved; alle rechte vorbehalten; tous droits réservés; todos los derechos; registered office
+use cookies; uses cookies; accept cookies; about cookies; nutzt cookies; des cookies; usa cookies; your privacy; in your browser; on this site; on your device; auf deinem gerät; en tu dispositivo; audience
+sign in; sign up; log in; create account; create an account; create a free account; create your account
+subscribers; subscribe; newsletter abonnieren; abonnenten; abonnés; suscriptores
+share this; teilen:; stelle teilen; partager; compartir; save job; report job
+because you; near you; this week; similar jobs; also viewed; also like; may like; ähnliche stellen; auch interessant; offres similaires; voir aussi; empleos parecidos; te puede gustar
+people applied; aufrufe; helpful?; search jobs; suche nach; rechercher; buscar empleo
 """
+# The like where place or figures matter.
+LINK_FORMS = r"^(?:advertisement|sponsored|anzeige|publicité|publicidad|more from .*)$|posted \d|\d views|version \d|(?:profile|vues|visitas)$|^get the .* app$|^follow .* on "
 
 LABEL_SET = frozenset(x.strip() for x in re.split(r"[;\n]", LINK_LABELS) if x.strip())
-CALL = re.compile("|".join(LINK_CALLS.strip().splitlines()))
+CALLS = tuple(x.strip() for x in re.split(r"[;\n]", LINK_CALLS) if x.strip())
+FORMS = re.compile(LINK_FORMS)
 MENU_CUT = re.compile(r"\s*[|·•/›>»]\s*|\s{2,}")
 SEPARATORS = "|·/•›>–-:"
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]")
@@ -92,7 +93,7 @@ NO_LETTER = re.compile(r"[\W\d_]+")
 def trusted_link(text: str) -> bool:
     """Whether a line says what links commonly say; labels must make up half of its pieces."""
     low = text.lower()
-    if CALL.search(low):
+    if any(x in low for x in CALLS) or FORMS.search(low):
         return True
     pieces = [p for p in MENU_CUT.split(low.strip(" |·•/")) if p]
     hits = sum(p in LABEL_SET for p in pieces)
@@ -109,18 +110,17 @@ def features(text: str) -> list[str]:
     words = ["#" if w[0].isdigit() else w for w in TOKEN.findall(text.lower())]
     if not words:
         return ["none"]
-    count, edged = len(words), ["^", *words, "$"]
-    out = set(words)
-    out.update([f"{a} {b}" for a, b in zip(edged, edged[1:])])
-    out.add(f"n:{count if count < 4 else 4 + min(8, (count - 4) // 4)}")
-    out.add("e:" + ("a" if text[-1].isalnum() else text[-1]))
-    out.add("b:" + ("A" if text[0].isupper() else "a" if text[0].isalpha() else text[0]))
-    spelt = [w for w in text.split() if w[0].isalpha()]
-    out.add(f"c:{4 * sum(w[0].isupper() for w in spelt) // max(1, len(spelt))}")
+    count = len(words)
+    spelt = [w[0] for w in text.split() if w[0].isalpha()]
+    out = [
+        *words, *map(" ".join, zip(["^", *words], [*words, "$"])), f"n:{count if count < 4 else 4 + min(8, (count - 4) // 4)}",
+        "e:a" if text[-1].isalnum() else "e:" + text[-1], "b:A" if text[0].isupper() else "b:a" if text[0].isalpha() else "b:" + text[0],
+        f"c:{4 * sum(map(str.isupper, spelt)) // max(1, len(spelt))}",
+    ]
     if count <= 12:
-        out.add("=" + " ".join(words))
-    out.update([f"s:{s}" for s in SEPARATORS if f" {s} " in text])
-    return sorted(out)
+        out.append("=" + " ".join(words))
+    out += [f"s:{s}" for s in SEPARATORS if f" {s} " in text]
+    return list(dict.fromkeys(out))
 
 
 class Own(NamedTuple):
@@ -155,7 +155,7 @@ class LinkModel:
         """
         if not self.weights:
             return 4.0 if trusted_link(text) else -4.0
-        known = [self.weights[f] for f in features(text) if f in self.weights]
+        known = [w for w in map(self.weights.get, features(text)) if w is not None]
         return self.bias + (sum(known) / math.sqrt(len(known)) if known else 0.0) + (TRUST if trusted_link(text) else 0.0)
 
     def density(self, text: str, own: bool = False) -> float:
@@ -208,7 +208,6 @@ def fit(pages: Iterable[list[tuple[str, bool]]]) -> LinkModel:
             if j is None:
                 j = ids[shape] = len(rows)
                 rows.append(np.array([index.setdefault(f, len(index)) for f in features(shape)], dtype=np.int64))
-                # the list names figures, so it is asked about the text as it stands
                 link.append(trusted_link(text))
                 long.append(points(text) > 1 + LONG_POINTS)
             line.append(j)
@@ -287,11 +286,13 @@ def furniture_lines(description: str | None, model: LinkModel, own: Own = Own(""
         known = cache.get(raw) if cache is not None else None
         if known is None:
             text = plain(raw)
-            known = (text, points(text) if text else 0.0, model.odds(text) if text else 0.0, anchor_share(raw))
+            shape = "\n" + DIGITS.sub("#", text)
+            odds = (cache.get(shape) if cache is not None else None) or (model.odds(text) if text else 0.0)
+            known = (text, points(text) if text else 0.0, odds, anchor_share(raw))
             if cache is not None:
                 if len(cache) > 200_000:
                     cache.clear()
-                cache[raw] = known
+                cache[raw], cache[shape] = known, odds
         text, worth, odds, linked = known
         if not text:
             continue
@@ -301,8 +302,18 @@ def furniture_lines(description: str | None, model: LinkModel, own: Own = Own(""
         numbers.append(number)
         texts.append(text)
         scores.append(worth * (1 - density) - LINK_COST * density)
-    keep = body_lines(scores)
-    return [n for n, text, k in zip(numbers, texts, keep) if not k and not TRUSTED_PATTERN.search(text)]
+    out = []
+    for n, text, keep in zip(numbers, texts, body_lines(scores)):
+        if keep:
+            continue
+        broken = cache.get("\r" + text) if cache is not None else None
+        if broken is None:
+            broken = bool(TRUSTED_PATTERN.search(text))
+            if cache is not None:
+                cache["\r" + text] = broken
+        if not broken:
+            out.append(n)
+    return out
 
 
 ROW_COLUMNS = ("row_id", "description", "company", "city", "work_type")
