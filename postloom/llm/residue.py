@@ -1,12 +1,12 @@
 """Template residue, filler and error messages instead of content.
 
 A naive Bayes model is learned from positive and unlabelled passages by
-expectation-maximisation: passages that match a short list of unmistakable
-error and placeholder patterns are trusted positives, all others are
-unlabelled; each round re-estimates the words of both classes from the
-unlabelled passages' current odds.  The fitted weights score every passage of
-every record, and a record is reported when one of its passages is more likely
-residue than content.
+expectation-maximisation: passages that match a short list of common error and
+placeholder patterns are trusted positives, all others are unlabelled; each
+round re-estimates the words of both classes, and the share of residue within
+stated bounds, from the unlabelled passages' current odds.  The fitted weights
+alone score every passage of every record, and a record is reported when one of
+its passages is more likely residue than content.
 
 Only the fit uses a sample, of about ``SAMPLE_ROWS`` records taken by hash over
 the whole table: all those with trusted patterns, and ``UNLABELLED_ROWS`` of
@@ -15,10 +15,12 @@ the others.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -35,6 +37,8 @@ UNLABELLED_ROWS = 6000
 ROUNDS = 5
 #: Odds from which an unlabelled passage counts for the positive class in the next round.
 CONFIDENT = 0.99
+#: The prior that expectation-maximisation finds lies between the trusted share of passages and so many times it.
+MOST_PRIOR = 2.0
 #: Passages of the common rate that each class is mixed with when it is counted.
 PULL = 20
 #: A feature must occur in so many passages of the sample to count.
@@ -49,23 +53,29 @@ THRESHOLD = 0.0
 SLOT = re.compile(
     r"\{\{.*?\}\}|\{%.*?%\}|\$\{.*?\}|<%.*?%>|\[\[.*?\]\]|@@.*?@@|__\w+?__|%[A-Za-z]\w*%|\$[A-Za-z]\w*\$|#[A-Z_]{3,}#|~\w+~|«[^«»]*»|\{[^{}]*\}|<[^<>]*>|\[[^\[\]]*\]"
 )
-# Signs of residue that nothing else shows; the trusted positives.
+# Names of fields that stand in brackets until they are filled in.
+FIELD_NAMES = (
+    "company|client|candidate|employer|city|location|place|deadline|level|title|job|role|position|team|department|name|date|salary|contact|url"
+    "|firma|firmenname|stadt|ort|stelle|entreprise|ville|poste|intitulé|nom|empresa|puesto|ciudad|nombre"
+)
+# Common signs of placeholders, filler, error pages and script notices; they label the fit and judge nothing.
 TRUSTED = (
-    r"\{\{|\{%|\{\w+\}|\$\{|<%=|@@\w|__[A-Za-z_]+__|\[\[|%[A-Za-z]\w*%|\$[A-Za-z]\w*\$|~[A-Za-z]\w*~|\[object Object\]|#[A-Z_]{3,}#|<INSERT|\[insert|\[add "
-    r"|\[(?:Company|Candidate|Client|Job|Role|Position|Level|Team|City|Location|Nom|Firmenname|Empresa|Puesto)\b|\[intitulé|<Enter "
-    r"|(?i:\blorem\b|\bipsum\b|\bdolor sit\b|\bdolum amet\b|\bamet sepir\b)|\bXXX\b|\bTODO\b|\bundefined\b|(?i:^job title goes here|your text goes here|replace this paragraph|delete before publishing|do not publish|^untitled posting|sample job)"
-    r"|(?i:enable javascript|activer javascript|activa javascript|aktivieren sie javascript|needs scripts|js support)"
-    r"|(?i:\bhttp [45]\d\d\b|\berror [45]\d\d\b|\bstatus [45]\d\d\b|^\W*[45]\d\d (?:\||–|not found|service)|\([45]\d\d\)|\bray [0-9a-f]{8,}\b|^oops!)"
-    r"|(?i:bad gateway|gateway time|upstream connect|typeerror|template render failed|service (?:temporarily )?unavailable|internal server error|too many requests|access denied)"
-    r"|(?i:you are not a robot|checking your browser|session has expired|sitzung abgelaufen|resource has been blocked|page not found|seite nicht gefunden|page introuvable|página no encontrada|something went wrong|no longer here)"
+    r"\{\{|\{%|\{\w+\}|\$\{|<%=|@@\w|__[A-Za-z_]+__|\[\[|%[A-Za-z]\w*%|\$[A-Za-z]\w*\$|#[A-Z_]{3,}#|\[object Object\]"
+    rf"|(?i:[\[<](?:insert|enter|add|your|{FIELD_NAMES})\b)"
+    r"|(?i:\blorem\b|\bipsum\b|\bamet\b|text goes here|title goes here|^untitled\b|\bsample (?:text|job)\b)|\bXXX\b|\bTODO\b|\bundefined\b"
+    r"|(?i:enable javascript|activer javascript|activa javascript|aktivieren sie javascript|needs (?:scripts|javascript)|support to run)"
+    r"|(?i:\b(?:http|error|status) [45]\d\d\b|^\W*[45]\d\d (?:\||–|not found|service)|bad gateway|gateway time|service (?:temporarily )?unavailable|internal server error|too many requests|access denied|upstream|^fatal:)"
+    r"|(?i:you are not a robot|checking your browser|session has expired|sitzung abgelaufen|page not found|seite nicht gefunden|page introuvable|página no encontrada|something went wrong|no longer here|has been blocked)"
 )
 TRUSTED_PATTERN = re.compile(TRUSTED)
-# Words (also as parts of longer ones) without which no trusted pattern matches outside brackets.
-TRIGGERS = frozenset(
-    ("#code #hex lorem ipsum dolor dolum amet xxx todo undefined goes replace delete publish untitled sample javascript scripts js http error status ray oops gateway upstream typeerror template "
-     "unavailable internal requests denied robot checking expired abgelaufen blocked found gefunden introuvable encontrada wrong longer service").split()
-)
-TRIGGER_PARTS = tuple(w for w in TRIGGERS if w[0] != "#")
+
+
+@lru_cache(maxsize=400_000)
+def trusted_residue(passage: str) -> bool:
+    """Whether a passage shows one of the signs that label the fit."""
+    return bool(TRUSTED_PATTERN.search(passage))
+
+
 SLOT_SIGN = re.compile(r"[{\[<@_%#~«$]")
 SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 #: The customary note on gender, no word of its own.
@@ -80,7 +90,7 @@ def slot_features(slot: str) -> list[str]:
     style = slot[: max(1, len(slot) - len(slot.lstrip("{[<@_%#~«$=")))]
     words = re.findall(r"[^\W_]+", inner)
     case = "upper" if inner.isupper() else "lower" if inner.islower() else "mixed"
-    return [f"style:{style}", f"case:{style}{case}", *(f"slot:{w.lower()}" for w in words[:6] if not w.isdigit())]
+    return [f"style:{style}", f"case:{style}{case}", *(f"slot:{w.lower()}" for w in words if not w.isdigit())]
 
 
 def word_features(text: str) -> list[str]:
@@ -134,25 +144,28 @@ class Model:
         return (self.slot_prior if slot else self.text_prior) + sum(get(f, 0.0) for f in features(passage, slot))
 
     def residue(self, passage: str, slot: bool) -> bool:
-        """Whether a passage is residue; trusted passages keep their label.
+        """Whether a passage is residue, by its weights alone.
 
-        The trusted patterns are tried only where one of their words, alone or
-        in a longer one, or a bracket's sign stands, for nothing else can match.
+        A model that could learn nothing (hardly any passages) takes the
+        trusted passages for residue.
         """
-        if slot:
-            return self.odds(passage, True) > THRESHOLD or bool(TRUSTED_PATTERN.search(passage))
-        found = set(word_features(passage))
-        get = self.weights.get
-        if self.text_prior + sum([get(f, 0.0) for f in found]) > THRESHOLD:
-            return True
-        low = passage.lower()
-        may_match = not TRIGGERS.isdisjoint(found) or SLOT_SIGN.search(passage) or any(w in low for w in TRIGGER_PARTS)
-        return bool(may_match and TRUSTED_PATTERN.search(passage))
+        if not self.weights:
+            return trusted_residue(passage)
+        return self.odds(passage, slot) > THRESHOLD
 
     def flags(self, line: str) -> bool:
         """Whether a passage of the line is residue."""
         return any(self.residue(p, s) for p, s in passages(line))
 
+    def save(self, path: str) -> None:
+        with open(path, "w", encoding="utf-8") as file:
+            json.dump([self.slot_prior, self.text_prior, self.weights], file, ensure_ascii=False)
+
+    @classmethod
+    def load(cls, path: str) -> Model:
+        with open(path, encoding="utf-8") as file:
+            return cls(*json.load(file))
+
 
 def _bound(feature: str) -> float:
     """Largest weight of a feature: brackets alone decide nothing."""
@@ -176,12 +189,12 @@ def _learn(positive: Counter[str], unlabelled: Counter[str], slot: bool) -> tupl
     which, what = np.array(pairs, dtype=np.int64).T
     weight = np.array([n for _, _, n in items], dtype=float)
     known = np.array([k for _, k, _ in items])
-    trusted = known | np.array([bool(TRUSTED_PATTERN.search(p)) for p, _, _ in items])
+    trusted = known | np.array([trusted_residue(p) for p, _, _ in items])
     bound = np.array([_bound(f) for f in index])
     belief = trusted.astype(float)
-    # the prior stays at the trusted share: left free, passages without known features would raise it round by round
     free = ~known
-    prior = math.log((weight[free & trusted].sum() + 1) / (weight[free & ~trusted].sum() + 1))
+    least = (weight[free & trusted].sum() + 1) / (weight[free].sum() + 2)
+    prior = math.log(least / (1 - least))
     beta = np.zeros(len(index))
     for _ in range(ROUNDS):
         sure = np.where(belief >= CONFIDENT, belief, 0.0)
@@ -193,6 +206,10 @@ def _learn(positive: Counter[str], unlabelled: Counter[str], slot: bool) -> tupl
         beta = np.clip(np.where((beta > 0) & (cp < MIN_PASSAGES), 0.0, beta), -bound, bound)
         score = prior + np.bincount(which, beta[what], len(items))
         belief = np.where(trusted, 1.0, 1 / (1 + np.exp(-np.clip(score, -30, 30))))
+        # the share of residue follows the beliefs, within its bounds: passages without known features must not raise it round by round
+        share = (weight[free] * belief[free]).sum() / weight[free].sum()
+        share = min(max(share, least), MOST_PRIOR * least, 0.5)
+        prior = math.log(share / (1 - share))
     names = list(index)
     return prior, {names[i]: float(b) for i, b in enumerate(beta) if not 0 <= b < LEAST_WEIGHT}
 
@@ -201,13 +218,13 @@ def fit(trusted_lines: Iterable[str], unlabelled_lines: Iterable[str]) -> Model:
     """Learn from records with trusted patterns and from unlabelled ones.
 
     Of the former only the trusted passages count, as labelled positives; the
-    latter count whole, and their trusted passages keep their label.
+    latter count whole, and while fitting their trusted passages keep their label.
     """
     counts = {(kind, slot): Counter() for kind in ("p", "u") for slot in (True, False)}
     for kind, lines in (("p", trusted_lines), ("u", unlabelled_lines)):
         for line in lines:
             for passage, slot in passages(line):
-                if kind == "u" or TRUSTED_PATTERN.search(passage):
+                if kind == "u" or trusted_residue(passage):
                     counts[kind, slot][passage] += 1
     slot_prior, slot_weights = _learn(counts["p", True], counts["u", True], True)
     text_prior, text_weights = _learn(counts["p", False], counts["u", False], False)
@@ -242,7 +259,8 @@ def residue(rows: DataFrame, model: Model | None = None) -> DataFrame:
     """(row_id) of records whose title or description holds residue.
 
     Each row is judged once, however many passages flag it; repeated rows stay
-    repeated.  Null and blank texts hold nothing.  Texts are read whole.
+    repeated.  Null and blank texts hold nothing.  Texts are read whole.  Without
+    ``model`` one is fitted on a sample of the rows.
     """
     model = model or fit(*fit_sample(rows))
     shared = rows.sparkSession.sparkContext.broadcast((model.slot_prior, model.text_prior, model.weights))

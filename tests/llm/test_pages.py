@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -120,12 +121,27 @@ def test_residue_learns_slots_and_spares_talk():
     assert [x for x in GOOD if model.flags(x)] == []
 
 
-def test_trusted_patterns_need_no_trigger_word():
-    model = r.Model(-1.0, -1.0, {})
-    cut_off = ["Join {{company", "Join {%company", "Join ${company", "<%= job.summary", "@@TITLE", "Join [[company", "<INSERT name", "[insert name", "[add name", "[Company name", "[intitulé", "<Enter name"]
-    longer = ["TypeErrors in line 3", "NextJS support is off"]
-    assert [x for x in cut_off + longer if not model.flags(x)] == []
-    assert [x for x in GOOD if model.flags(x)] == []
+def test_patterns_label_the_fit_and_judge_nothing():
+    model = r.Model(-1.0, -1.0, {"of": -1.0})
+    assert all(r.trusted_residue(x) for x in BAD[:2] + BAD[3:]) and not any(model.flags(x) for x in BAD)
+    # what no pattern matches is found by the words that it shares with what is trusted
+    model = r.fit(*sample(20))
+    talk = "The HTTP service is 503 unavailable"
+    assert not r.trusted_residue(talk) and model.flags(talk)
+
+
+def test_prior_stays_within_its_bounds():
+    trusted = ["Fatal: template render failed at line 3"] * 30
+    unlabelled = ["Fatal: template render failed at line 3"] * 10 + ["Template render failed at line 9"] * 200 + ["Run 4 review rounds each spring"] * 790
+    prior, _ = r._learn(r.Counter(trusted), r.Counter(unlabelled), False)
+    assert 10 / 1000 * 0.9 <= 1 / (1 + math.exp(-prior)) <= r.MOST_PRIOR * 11 / 1002 + 1e-9
+
+
+def test_residue_model_is_saved(tmp_path):
+    model = r.fit(*sample(5))
+    model.save(str(tmp_path / "m.json"))
+    again = r.Model.load(str(tmp_path / "m.json"))
+    assert [again.odds(x, False) for x in BAD + GOOD] == [model.odds(x, False) for x in BAD + GOOD]
 
 
 def test_residue_rows(spark):
