@@ -2,10 +2,14 @@
 
 A name is taken apart into name words, line of business and notes (legal form,
 region); different spellings with the same parts collapse first, so the costly
-steps see distinct forms only.  Forms meet in blocks of phonetic codes of their
-sorted words, pairs are compared by Jaro-Winkler with a table of nicknames, and
-accepted pairs of complete forms are clustered by connected components.  A form
-that lacks a part then joins the only cluster it fits.
+steps see distinct forms only.  Forms meet in blocks of the phonetic codes of
+their sorted words, pairs are compared by Jaro-Winkler with a table of
+nicknames, and accepted pairs of complete forms are clustered by connected
+components.  A form that lacks a part then joins the only cluster it fits.
+
+An index of linked names lives on: ``extend_names`` links new names to its
+clusters without reading linked names again.  A label once given never changes;
+where a new spelling shows two clusters to be one, an alias row says so.
 """
 
 from __future__ import annotations
@@ -16,13 +20,13 @@ from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.llm.canonical import one_slip_apart
 from postloom.llm.components import connected_components
 from postloom.llm.titles import fold
-from postloom.session import cut
+from postloom.session import cut, ship
 
 # What stands where no organisation is named.
 NOBODY = frozenset(
@@ -38,7 +42,6 @@ LINES = {
     "media": "med", "pictures": "pics pic", "press print": "", "productions": "prod prods production",
     "publishing": "publ pub", "records": "rec recs record", "studio": "std studios", "type foundry": "foundry", "workshop": "wkshp wks",
 }
-LINE_OF = {short: line for line, shorts in LINES.items() for short in [line, *shorts.split()]}
 # Given names and their short forms.
 NICKNAMES = {
     "alexander": "alex sascha sasha xander lex", "dimitrios": "dimi dimitri mitsos jim", "elizabeth": "beth liz lizzy betty eliza ella lisa",
@@ -46,7 +49,23 @@ NICKNAMES = {
     "margaret": "maggie peggy meg greta marge", "nicholas": "nick nico klaus nicky", "robert": "rob bob bobby robbie bert", "samuel": "sam sammy",
     "theodora": "thea dora theo", "victoria": "vicky tori vicki", "william": "will bill billy liam willy",
 }
-FULL_NAME = {short: full for full, shorts in NICKNAMES.items() for short in [full, *shorts.split()]}
+
+
+class NameTables:
+    """The tables by which names are read; each may be replaced."""
+
+    def __init__(self, nicknames: dict[str, str] = NICKNAMES, lines: dict[str, str] = LINES, legal: frozenset[str] = LEGAL, regions: frozenset[str] = REGIONS, nobody: frozenset[str] = NOBODY):
+        self.given, self.lines, self.legal, self.regions, self.nobody = frozenset(nicknames), lines, legal, regions, nobody
+        self.full_name = {short: full for full, shorts in nicknames.items() for short in [full, *shorts.split()]}
+        self.line_of = {short: line for line, shorts in lines.items() for short in [line, *shorts.split()]}
+
+
+DEFAULT = NameTables()
+#: Jaro-Winkler similarity from which two words are one word with a slip.  Words with a slip
+#: measure 0.78 and more, the words of different names 0.67 and less.
+ALIKE = 0.75
+#: Words of fewer letters must also differ by no more than one slip.
+SHORT_WORD = 5
 
 
 class Form(NamedTuple):
@@ -85,16 +104,24 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro)
 
 
+# Letters that sound alike, in the order in which they are replaced; all vowels sound as one.
+SOUNDS = (
+    ("tsch|sch|sh", "s"), ("ph", "f"), ("gh|ck|qu", "k"), ("th|dt", "t"), ("tz|ts", "s"), ("x", "ks"), ("c(?=[eiy])", "s"), ("[cqgk]", "k"),
+    ("[zß]", "s"), ("[vw]", "f"), ("d", "t"), ("b", "p"), ("j", "y"), ("(?<=[aeiouy])h", ""), ("[aeiouy]+", "a"),
+)
+_SOUNDS = tuple((re.compile(a), b) for a, b in SOUNDS)
+
+
 def phonetic(word: str) -> str:
-    """Code of a word's sound: like letters share a sign, doubled letters count once."""
-    word = word.replace("ph", "f").replace("ck", "k").replace("th", "t")
-    word = word.translate(str.maketrans("cqzwyj", "kksvii"))
+    """Code of a word's sound: like letters share a sign, doubled ones count once."""
+    for letters, sound in _SOUNDS:
+        word = letters.sub(sound, word)
     return re.sub(r"(.)\1+", r"\1", word)
 
 
-def _near_line(parts: list[str]) -> tuple[int, int, str] | None:
+def _near_line(parts: list[str], tables: NameTables) -> tuple[int, int, str] | None:
     """(place, words, line) of a line of business with a slip in its spelling."""
-    for line in LINES:
+    for line in tables.lines:
         words = line.split()
         for k in range(len(parts) - len(words) + 1):
             if min(map(len, parts[k : k + len(words)])) >= 4 and all(one_slip_apart(x, y) for x, y in zip(parts[k:], words)):
@@ -102,7 +129,7 @@ def _near_line(parts: list[str]) -> tuple[int, int, str] | None:
     return None
 
 
-def parse_name(name: str | None) -> Form | None:
+def parse_name(name: str | None, tables: NameTables = DEFAULT) -> Form | None:
     """The parts of an organisation's name; None where it names nobody.
 
     ``words`` are the sorted name words (given names in full), ``initial`` a
@@ -115,26 +142,26 @@ def parse_name(name: str | None) -> Form | None:
     handle = raw.startswith("@")
     raw = re.sub(r"(?<=[a-z])(?=[A-Z][a-z])", " ", raw.lstrip("@"))
     text = " ".join(fold(raw).split())
-    if text in NOBODY:
+    if text in tables.nobody:
         return None
     slug = bool(re.fullmatch(r"[a-z]+(?:-[a-z]+)+", text)) and raw == raw.lower()
     text = re.sub(r"\b(?:[a-z]\.){2,}", lambda m: m.group().replace(".", ""), text)
     text = re.sub(r"['’]s\b", "", text)
-    text = re.sub(r"\(([^)]*)\)", lambda m: " " if set(m.group(1).split()) <= REGIONS else f" {m.group(1)} ", text)
+    text = re.sub(r"\(([^)]*)\)", lambda m: " " if set(m.group(1).split()) <= tables.regions else f" {m.group(1)} ", text)
     text = re.sub(r"\bpress\s*(?:&|\+|and|-|\s)\s*pr\w{3,5}\b", " press_print ", text)
     text = re.sub(r"\btype[\s-]+found\w{2,3}\b", " type_foundry ", text)
     text = re.sub(r"^the\s+", "", text)
-    parts = [w for w in re.split(r"[\s,/&+-]+", text) if w and w != "and"]
-    while len(parts) > 1 and parts[-1].strip(".") in LEGAL:
+    parts = [w for w in re.split(r"[\s,/&+@-]+", text) if w and w != "and"]
+    while len(parts) > 1 and parts[-1].strip(".") in tables.legal:
         parts.pop()
     line, words, initial = "", [], ""
-    if len(parts) > 1 and not any(p.strip(".").replace("_", " ") in LINE_OF for p in parts):
-        near = _near_line(parts)
+    if len(parts) > 1 and not any(p.strip(".").replace("_", " ") in tables.line_of for p in parts):
+        near = _near_line(parts, tables)
         if near:
             parts[near[0] : near[0] + near[1]] = [near[2].replace(" ", "_")]
     for k, part in enumerate(parts):
         bare = part.strip(".").replace("_", " ")
-        found = LINE_OF.get(bare) if len(parts) > 1 else None
+        found = tables.line_of.get(bare) if len(parts) > 1 else None
         if found and not line:
             line = found
         elif part.endswith(".") and len(bare) <= 3 and not initial:
@@ -142,7 +169,7 @@ def parse_name(name: str | None) -> Form | None:
         elif len(bare) == 1 and not initial:
             initial = bare
         elif bare:
-            words.append(FULL_NAME.get(bare, bare))
+            words.append(tables.full_name.get(bare, bare))
     if not words:
         return None
     joined = (handle or slug) and len(words) == 1
@@ -154,43 +181,59 @@ def complete(form: Form) -> bool:
     return bool(form.line) and not form.initial and len(form.words) >= 2 and not form.joined
 
 
-def block_keys(form: Form) -> list[str]:
-    """Phonetic blocks in which a form is compared.
+def spellings(word: str) -> list[str]:
+    """Keys of a word: its sound, itself, and it with one letter left out, which any single slip leaves in common."""
+    out = [f"={phonetic(word)}", f"~{word}"]
+    if len(word) >= 4:
+        out += [f"~{word[:i]}{word[i + 1:]}" for i in range(len(word))]
+    return out
+
+
+def slip_keys(words: tuple[str, ...]) -> list[str]:
+    """Keys that two lists of sorted words share if they agree in all words but one, and that one may be one word with a slip."""
+    return [f"{' '.join(words[:i] + words[i + 1:])}|{key}" for i, word in enumerate(words) for key in spellings(word)]
 
-    A slip touches one word, or one end of a long word, so each word (or each
-    end) is a block of its own; common given names make no block.  Words that
-    may run together are blocked by the ends of their sequence as well.  Phonetic
-    codes miss slips in short words, so words and sequences also meet by their
-    spellings with one letter left out, which any single slip leaves in common.
+
+def block_keys(form: Form, tables: NameTables = DEFAULT) -> list[str]:
+    """Blocks in which a form looks for complete forms.
+
+    Complete forms meet within their line of business and with all words but
+    one the same, so common words alone bring nobody together.  Other forms
+    look for what they lack: the given name behind an initial, the words that
+    run together or stand alone, or the line.
     """
-    out = []
-    for word in form.words:
-        if word in NICKNAMES and len(form.words) > 1:
-            continue
-        code = phonetic(word)
-        if len(code) >= 8:
-            out += [f"<{code[:4]}", f">{code[-4:]}"]
-        else:
-            out.append(f"={code}")
-    names = [w for w in form.words if w not in NICKNAMES]
-    if form.joined or len(names) == 1:
-        out += [f"<<{phonetic(names[0] if names else form.words[0])[:4]}"]
-    if len(names) == 2:
-        out += [f"<<{phonetic(''.join(p))[:4]}" for p in (names, names[::-1])]
-    spelt = names or list(form.words)
     if complete(form):
-        spelt = [*spelt, "".join(form.words), "".join(form.words[::-1])]
-    out += [f"~{x}" for word in spelt if len(word) >= 4 for x in (word, *(word[:i] + word[i + 1 :] for i in range(len(word))))]
-    return list(dict.fromkeys(out))
+        keys = [f"L|{form.line}|{key}" for key in slip_keys(form.words)]
+    elif form.initial:
+        keys = [f"I|{form.initial[0]}|{key}" for key in slip_keys(form.words)]
+    elif len(form.words) == 1:
+        keys = [] if form.words[0] in tables.given else [f"S|{key}" for key in spellings(form.words[0])]
+    else:
+        keys = [f"W|{key}" for key in slip_keys(form.words)]
+    return list(dict.fromkeys(keys))
+
+
+def home_keys(form: Form, tables: NameTables = DEFAULT) -> list[str]:
+    """Blocks in which a complete form is found; none for others."""
+    if not complete(form):
+        return []
+    keys = block_keys(form, tables) + [f"W|{key}" for key in slip_keys(form.words)]
+    for i, rest in enumerate(form.words):
+        keys += [f"I|{rest[0]}|{key}" for key in slip_keys(form.words[:i] + form.words[i + 1 :])]
+    alone = [w for w in form.words if w not in tables.given] + ["".join(form.words), "".join(form.words[::-1])]
+    return list(dict.fromkeys(keys + [f"S|{key}" for word in alone for key in spellings(word)]))
 
 
 def alike(a: str, b: str) -> bool:
-    """Whether two words may be one word with a slip."""
-    return a == b or (min(len(a), len(b)) >= 4 and jaro_winkler(a, b) >= 0.8 and one_slip_apart(a, b))
+    """Whether two words may be one word with a slip: by Jaro-Winkler, short ones by their slips as well."""
+    if a == b:
+        return True
+    shorter = min(len(a), len(b))
+    return shorter >= 4 and jaro_winkler(a, b) >= ALIKE and (shorter >= SHORT_WORD or one_slip_apart(a, b))
 
 
-def same_words(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
-    """Whether the words agree in some order with at most one slip in all."""
+def same_words(a: tuple[str, ...], b: tuple[str, ...], tables: NameTables = DEFAULT) -> bool:
+    """Whether the words agree in some order but for at most one, which is alike; two given names never are."""
     if len(a) != len(b):
         return False
     left, right = list(a), list(b)
@@ -200,17 +243,15 @@ def same_words(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
             right.remove(w)
     if not left:
         return True
-    return len(left) == 1 and left[0] not in NICKNAMES and right[0] not in NICKNAMES and alike(left[0], right[0]) or (
-        len(left) == 1 and (left[0] in NICKNAMES) != (right[0] in NICKNAMES) and alike(left[0], right[0])
-    )
+    return len(left) == 1 and not (left[0] in tables.given and right[0] in tables.given) and alike(left[0], right[0])
 
 
-def same_organisation(a: Form, b: Form) -> bool:
+def same_organisation(a: Form, b: Form, tables: NameTables = DEFAULT) -> bool:
     """Whether two complete forms name one organisation."""
-    return a.line == b.line and same_words(a.words, b.words)
+    return a.line == b.line and same_words(a.words, b.words, tables)
 
 
-def fits(part: Form, whole: Form, same: Callable[[str, str], bool] = alike) -> bool:
+def fits(part: Form, whole: Form, same: Callable[[str, str], bool] = alike, tables: NameTables = DEFAULT) -> bool:
     """Whether a form that lacks something may stand for a complete one; ``same`` compares words."""
     if part.line and part.line != whole.line:
         return False
@@ -224,73 +265,159 @@ def fits(part: Form, whole: Form, same: Callable[[str, str], bool] = alike) -> b
         return len(rest) == 1 and rest[0].startswith(part.initial)
     if len(part.words) == 1 and len(whole.words) >= 2:
         word = part.words[0]
-        if word in NICKNAMES:
+        if word in tables.given:
             return False
         sequences = ["".join(whole.words), "".join(reversed(whole.words))]
         if any(same(word, s) for s in sequences):
             return True
-        return not part.joined and any(x not in NICKNAMES and same(word, x) for x in whole.words)
-    return part.words == whole.words or (same is alike and same_words(part.words, whole.words))
+        return not part.joined and any(x not in tables.given and same(word, x) for x in whole.words)
+    return part.words == whole.words or (same is alike and same_words(part.words, whole.words, tables))
+
+
+FORM_TYPE = "name string, form string, whole boolean, blocks array<string>, homes array<string>"
+
 
+def read_form(text: str) -> Form:
+    words, initial, line, joined = text.split("|")
+    return Form(tuple(words.split(" ")), initial, line, joined == "1")
 
-FORM_COLUMNS = "words array<string>, initial string, line string, joined boolean"
 
+class NameIndex(NamedTuple):
+    """Linked names that later names are linked to.
 
-def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for name in pdf["name"]:
-            form = parse_name(name)
-            if form:
-                key = f"{' '.join(form.words)}|{form.initial}|{form.line}|{int(form.joined)}"
-                rows.append((name, key, list(form.words), form.initial, form.line, form.joined, complete(form), block_keys(form)))
-        yield pd.DataFrame(rows, columns=["name", "form", "words", "initial", "line", "joined", "whole", "blocks"])
+    ``names``: name, organisation; ``forms``: form, whole, blocks, homes,
+    organisation, settled (whether a form that lacks a part has found its
+    cluster); ``aliases``: organisation, root (clusters that turned out to be
+    one).  Rows are only ever appended; an alias is followed when labels are
+    compared, see ``resolved``.
+    """
+
+    names: DataFrame
+    forms: DataFrame
+    aliases: DataFrame
+
+    def save(self, folder: str) -> None:
+        for part, df in self._asdict().items():
+            df.write.mode("overwrite").parquet(f"{folder}/{part}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str) -> NameIndex:
+        return cls(*[spark.read.parquet(f"{folder}/{part}") for part in cls._fields])
+
+
+def resolved(labelled: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Rows with ``organisation`` replaced by the cluster that it belongs to."""
+    others = [c for c in labelled.columns if c != "organisation"]
+    return labelled.join(aliases, "organisation", "left").select(*others, F.coalesce("root", "organisation").alias("organisation"))
+
+
+def _parser(tables: NameTables) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for name in pdf["name"]:
+                form = parse_name(name, tables)
+                if form:
+                    key = f"{' '.join(form.words)}|{form.initial}|{form.line}|{int(form.joined)}"
+                    rows.append((name, key, complete(form), block_keys(form, tables), home_keys(form, tables)))
+            yield pd.DataFrame(rows, columns=["name", "form", "whole", "blocks", "homes"])
+
+    return parse
 
 
-def _verdicts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def read(form: str) -> Form:
-        words, initial, line, joined = form.split("|")
-        return Form(tuple(words.split(" ")), initial, line, joined == "1")
+def _judge(tables: NameTables) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            forms = [(read_form(a), read_form(b), w) for a, b, w in zip(pdf["a"], pdf["b"], pdf["both"])]
+            keep = [same_organisation(a, b, tables) if w else fits(a, b, alike, tables) for a, b, w in forms]
+            exact = [k and not w and fits(a, b, operator.eq, tables) for k, (a, b, w) in zip(keep, forms)]
+            yield pdf.assign(exact=exact)[keep]
 
-    for pdf in batches:
-        keep = [same_organisation(read(a), read(b)) if w else fits(read(a), read(b)) for a, b, w in zip(pdf["a"], pdf["b"], pdf["both"])]
-        pdf = pdf[keep]
-        yield pdf.assign(exact=[not w and fits(read(a), read(b), operator.eq) for a, b, w in zip(pdf["a"], pdf["b"], pdf["both"])])
+    return judge
 
 
-def link_names(names: DataFrame) -> DataFrame:
-    """(name, organisation) for each distinct value of the column ``name``.
+def extend_names(names: DataFrame, known: NameIndex | None = None, tables: NameTables = DEFAULT) -> NameIndex:
+    """The index with the distinct values of the column ``name`` linked as well.
 
-    ``organisation`` is a form that stands for the cluster.  Values that name
-    nobody are left out; so is nothing else: a value without partners has an
-    organisation of its own, and a partial form that fits several clusters gets
-    one that no other value shares.  Null values are ignored.
+    Values that name nobody are left out; so is nothing else: a value without
+    partners has an organisation of its own (its form), and a partial form that
+    fits several clusters gets one that no other value shares.  Null values are
+    ignored.  Names that the index holds are not read again; new forms meet
+    each other and the forms of the index.  A new cluster that is near to an
+    old one takes its label; old clusters that a new form joins get an alias to
+    the smallest of them, and so does a partial form of the index that finds
+    its cluster only now.
     """
-    parsed = cut(names.select("name").filter("name is not null").distinct().mapInPandas(_parse, f"name string, form string, {FORM_COLUMNS}, whole boolean, blocks array<string>"))
-    forms = parsed.groupBy("form").agg(F.first("whole").alias("whole"), F.first("blocks").alias("blocks"))
-    blocked = forms.select("form", "whole", F.explode("blocks").alias("block"))
-    left = blocked.select(F.col("form").alias("a"), F.col("whole").alias("wa"), "block")
-    right = blocked.filter("whole").select(F.col("form").alias("b"), "block")
-    pairs = left.join(right, "block").filter("a <> b and (not wa or a < b)").select("a", "b", F.col("wa").alias("both")).distinct()
-    accepted = cut(pairs.mapInPandas(_verdicts, "a string, b string, both boolean, exact boolean"))
-    clusters = connected_components(accepted.filter("both"))
-    wholes = forms.filter("whole").select("form").join(clusters.withColumnRenamed("node", "form"), "form", "left").select("form", F.coalesce("component", "form").alias("organisation"))
+    spark = names.sparkSession
+    ship(spark)
+    distinct = names.select("name").filter("name is not null").distinct()
+    if known:
+        distinct = distinct.join(known.names.select("name"), "name", "left_anti")
+    parsed = cut(distinct.repartition(spark.sparkContext.defaultParallelism, "name").mapInPandas(_parser(tables), FORM_TYPE))
+    forms = parsed.groupBy("form").agg(F.first("whole").alias("whole"), F.first("blocks").alias("blocks"), F.first("homes").alias("homes"))
+    if known:
+        forms = forms.join(known.forms.select("form"), "form", "left_anti")
+        old = resolved(known.forms, known.aliases)
+    forms = cut(forms)
+    looking = forms.select(F.col("form").alias("a"), "whole", F.explode("blocks").alias("block"))
+    found = forms.select(F.col("form").alias("b"), F.lit(None).cast("string").alias("old"), F.explode("homes").alias("block"))
+    pairs = looking.join(found if not known else found.unionByName(old.select(F.col("form").alias("b"), F.col("organisation").alias("old"), F.explode("homes").alias("block"))), "block")
+    if known:
+        # partial forms of the index that have found nobody yet look among the new ones
+        waiting = known.forms.filter("not whole and not settled").select(F.col("form").alias("a"), "whole", F.explode("blocks").alias("block"))
+        pairs = pairs.unionByName(waiting.join(found, "block"))
+    pairs = pairs.filter("a <> b and (not whole or old is not null or a < b)").select("a", "b", F.col("whole").alias("both"), "old").distinct()
+    accepted = cut(pairs.mapInPandas(_judge(tables), "a string, b string, both boolean, old string, exact boolean"))
+    # an old form stands for its cluster, so links lead to labels, and labels never change
+    clusters = connected_components(accepted.filter("both").select("a", F.coalesce("old", "b").alias("b")))
+    labels = accepted.filter("both and old is not null").select(F.col("old").alias("node")).distinct()
+    roots = clusters.join(labels, "node").groupBy("component").agg(F.min("node").alias("root"))
+    rooted = cut(clusters.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("root")))
+    wholes = forms.filter("whole").join(rooted.withColumnRenamed("node", "form"), "form", "left").select("form", F.coalesce("root", "form").alias("organisation"))
+    merged = rooted.join(labels, "node").filter("node <> root").select(F.col("node").alias("organisation"), "root")
     # a fit letter by letter goes before one with a slip
+    homes = accepted.filter("not both").join(wholes.withColumnRenamed("form", "b"), "b", "left").withColumn("organisation", F.coalesce("organisation", "old"))
+    homes = homes.join(merged.select(F.col("organisation").alias("merged"), "root"), F.col("organisation") == F.col("merged"), "left").withColumn("organisation", F.coalesce("root", "organisation"))
     exactly = F.when(F.col("exact"), F.col("organisation"))
-    homes = (
-        accepted.filter("not both")
-        .join(wholes.withColumnRenamed("form", "b"), "b")
-        .groupBy("a")
-        .agg(F.coalesce(F.min(exactly), F.min("organisation")).alias("organisation"), F.coalesce(F.max(exactly), F.max("organisation")).alias("last"))
-        .select(F.col("a").alias("form"), F.when(F.col("organisation") == F.col("last"), F.col("organisation")).alias("organisation"), (F.col("organisation") != F.col("last")).alias("unsure"))
-    )
+    homes = homes.groupBy("a").agg(F.coalesce(F.min(exactly), F.min("organisation")).alias("home"), F.coalesce(F.max(exactly), F.max("organisation")).alias("last"))
+    homes = cut(homes.select(F.col("a").alias("form"), "home", (F.col("home") != F.col("last")).alias("unsure")))
     parts = forms.filter("not whole").select("form").join(homes, "form", "left")
-    placed = wholes.select("form", "organisation", F.lit(False).alias("unsure")).unionByName(parts.select("form", "organisation", F.coalesce("unsure", F.lit(False)).alias("unsure")))
-    return parsed.select("name", "form").join(placed, "form").select("name", F.when(F.col("unsure"), F.concat(F.lit("?"), "name")).otherwise(F.coalesce("organisation", "form")).alias("organisation"))
+    sure = F.when(~F.col("unsure"), F.col("home"))
+    placed = wholes.select("form", "organisation", F.lit(False).alias("unsure"), F.lit(True).alias("settled")).unionByName(
+        parts.select("form", F.coalesce(sure, "form").alias("organisation"), F.coalesce("unsure", F.lit(False)).alias("unsure"), F.col("home").isNotNull().alias("settled"))
+    )
+    placed = cut(placed)
+    of_form = placed.select("form", "organisation", "unsure")
+    if known:
+        of_form = of_form.unionByName(old.select("form", "organisation", F.lit(False).alias("unsure")))
+    own = F.when(F.col("unsure"), F.concat(F.lit("?"), "name")).otherwise(F.col("organisation"))
+    named = parsed.select("name", "form").join(of_form, "form").select("name", own.alias("organisation"))
+    kept = forms.join(placed.drop("unsure"), "form").select("form", "whole", "blocks", "homes", "organisation", "settled")
+    if not known:
+        return NameIndex(named, kept, merged)
+    late = homes.join(known.forms.filter("not whole and not settled").select("form", "organisation"), "form").filter("not unsure").select("organisation", F.col("home").alias("root"))
+    fresh = cut(merged.unionByName(late).filter("organisation <> root").groupBy("organisation").agg(F.min("root").alias("root")))
+    moved = known.aliases.join(fresh.select(F.col("organisation").alias("root"), F.col("root").alias("newer")), "root", "left").select("organisation", F.coalesce("newer", "root").alias("root"))
+    return NameIndex(named.unionByName(known.names), kept.unionByName(known.forms), moved.unionByName(fresh))
+
+
+def link_names(names: DataFrame, tables: NameTables = DEFAULT) -> DataFrame:
+    """(name, organisation) for each distinct value of the column ``name``; see ``extend_names``."""
+    return extend_names(names, None, tables).names
+
+
+#: Names of one organisation that one task pairs with all others of it.
+PAIR_GROUP = 512
 
 
 def name_pairs(linked: DataFrame) -> DataFrame:
-    """All pairs of names of one organisation, the smaller by code points first."""
-    a = linked.select(F.col("name").alias("name_a"), "organisation")
-    b = linked.select(F.col("name").alias("name_b"), "organisation")
-    return a.join(b, "organisation").filter("name_a < name_b").select("name_a", "name_b")
+    """All pairs of names of one organisation, the smaller by code points first.
+
+    An organisation of very many names is split: each of its names meets one
+    slice of the others in one task.  ``linked`` itself is the membership.
+    """
+    sizes = linked.groupBy("organisation").agg(F.ceil(F.count("*") / PAIR_GROUP).cast("int").alias("slices")).filter("slices > 0")
+    sized = linked.join(sizes, "organisation")
+    a = sized.select(F.col("name").alias("name_a"), "organisation", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    b = sized.select(F.col("name").alias("name_b"), "organisation", F.pmod(F.xxhash64("name"), F.col("slices")).cast("int").alias("slice"))
+    return a.join(b, ["organisation", "slice"]).filter("name_a < name_b").select("name_a", "name_b")

@@ -46,7 +46,7 @@ def test_any_slip_that_counts_shares_a_block():
                 b = names.parse_name(whole)
                 if a and (names.same_organisation(a, b) if names.complete(a) else names.fits(a, b)):
                     met += 1
-                    assert set(names.block_keys(a)) & set(names.block_keys(b)), (slip, whole)
+                    assert set(names.block_keys(a)) & set(names.home_keys(b)), (slip, whole)
     assert met > 100
 
 
@@ -91,3 +91,66 @@ def test_components(spark):
 def test_jaro_winkler_is_symmetric_and_bounded(a, b):
     s = names.jaro_winkler(a, b)
     assert 0 <= s <= 1 and abs(s - names.jaro_winkler(b, a)) < 1e-9 and (s == 1) == (a == b)
+
+
+def frame(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "name string")
+
+
+def labels(index):
+    got = {r.name: r.organisation for r in names.resolved(index.names, index.aliases).collect()}
+    assert index.names.count() == len(got)
+    return got
+
+
+def test_a_label_once_given_never_changes(spark, tmp_path):
+    first = names.extend_names(frame(spark, ["Walter Huber Design", "Boda Tralute Media", "T. Pifenupuke Records"]))
+    before = {r.name: r.organisation for r in first.names.collect()}
+    first.save(str(tmp_path / "n"))
+    first = names.NameIndex.load(spark, str(tmp_path / "n"))
+    # a spelling that sorts lower, a new one, a name seen before, and the cluster that a partial name waited for
+    second = names.extend_names(frame(spark, ["Walter Hber Design", "Aoda Kulavo Media", "Boda Tralute Media", "Theodora Pifenupuke Records", None, "n/a"]), first)
+    after = {r.name: r.organisation for r in second.names.collect()}
+    assert {k: after[k] for k in before} == before and len(after) == 6
+    got = labels(second)
+    assert got["Walter Hber Design"] == got["Walter Huber Design"] == before["Walter Huber Design"]
+    assert got["T. Pifenupuke Records"] == got["Theodora Pifenupuke Records"]
+    assert len(set(got.values())) == 4
+    assert labels(names.extend_names(frame(spark, []), second)) == got
+
+
+def test_clusters_that_turn_out_to_be_one_get_an_alias(spark):
+    first = names.extend_names(frame(spark, ["Walter Hubermann Design", "Walter Hbermnn Design"]))
+    assert len(set(labels(first).values())) == 2 and first.aliases.count() == 0
+    second = names.extend_names(frame(spark, ["Walter Hbermann Design"]), first)
+    assert len(set(labels(second).values())) == 1 and second.aliases.count() == 1
+    third = names.extend_names(frame(spark, ["Walter Hubermanns Design", "W. Hubermann Design"]), second)
+    assert len(set(labels(third).values())) == 1
+
+
+def test_batches_of_names_equal_one_pass(spark):
+    values = [n for g in SAME for n in g] + NOBODY
+    whole = {frozenset(r) for r in names.name_pairs(names.link_names(frame(spark, values))).collect()}
+    index = None
+    for start in range(0, len(values), 7):
+        index = names.extend_names(frame(spark, values[start : start + 7]), index)
+    got = {frozenset(r) for r in names.name_pairs(names.resolved(index.names, index.aliases)).collect()}
+    assert got == whole
+
+
+def test_pairs_of_a_hot_organisation_are_split(spark, monkeypatch):
+    monkeypatch.setattr(names, "PAIR_GROUP", 3)
+    linked = spark.createDataFrame([(f"n{i:02}", "o") for i in range(11)] + [("x", "p")], "name string, organisation string")
+    assert {tuple(r) for r in names.name_pairs(linked).collect()} == {(f"n{i:02}", f"n{j:02}") for i in range(11) for j in range(i + 1, 11)}
+
+
+def test_tables_are_inputs(spark):
+    tables = names.NameTables(nicknames={"bartholomew": "bart"}, lines={"brewery": "brew"})
+    linked = names.link_names(frame(spark, ["Bart Halloran Brew", "Bartholomew Halloran Brewery", "Bart Halloran Design"]), tables)
+    assert [tuple(r) for r in names.name_pairs(linked).collect()] == [("Bart Halloran Brew", "Bartholomew Halloran Brewery")]
+
+
+def test_jaro_winkler_accepts_and_short_words_need_one_slip():
+    assert names.alike("lovomo", "lxvomo") and names.alike("basazapabri", "baasazapabry") and not names.alike("robert", "samuel")
+    assert names.alike("vosu", "vosi") and not names.alike("vosu", "sovu") and not names.alike("abc", "abd")
+    assert names.phonetic("schmidt") == names.phonetic("shmit") and names.phonetic("phaidon") == names.phonetic("faydon") and names.phonetic("") == ""
