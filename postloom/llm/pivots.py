@@ -4,9 +4,9 @@ Each posting row has up to two points in a metric space:
 
 * its *link point*: the space is the host and tenant of its link, the text is
   the posting's number or code, and only distance 0 is the same posting;
-* its *wording point*: the space is organisation, city, level, field, team and
-  (where the reference list knows it) the role; the text is the role as typed
-  otherwise, and small edit distances are the same role.
+* its *wording point*: the space is organisation, city, level, field and team;
+  the text is the role, by its name in the reference list where that knows it,
+  else as typed, and small edit distances of typed roles are the same role.
 
 Points of different spaces are infinitely far apart, points of one space have
 their Levenshtein distance, so the whole is a metric.  The table stores the
@@ -15,6 +15,12 @@ the range of the table in which the triangle inequality leaves it a chance
 (an equi-join on space and distance range), the other pivots thin the
 candidates, and the true distance decides.  Points accepted from a batch are
 appended; older points are never measured again.
+
+What makes two wordings comparable, the labels of organisations and roles, is
+stored with the table: ``History`` keeps every name and role that was met, so a
+new batch links only names and roles that no batch before it had.  A label once
+given never changes.  Where a new name shows two organisations to be one, the
+points of the one are appended under the label of the other.
 """
 
 from __future__ import annotations
@@ -28,11 +34,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postloom.llm import canonical
 from postloom.llm.canonical import acceptable, radius_of
 from postloom.llm.components import connected_components
-from postloom.llm.titles import fold
+from postloom.llm.names import NameIndex, extend_names, resolved
 from postloom.operators.layout import with_position
-from postloom.session import cut
+from postloom.session import cut, ship, small_enough
 
 #: The pivots: fixed texts of different length and letters.
 PIVOTS = ("", "data engineer", "warehouse night clerk", "pqxz liability technician")
@@ -100,25 +107,38 @@ def with_pivots(points: DataFrame, text: str = "text") -> DataFrame:
     return points.withColumn("d", F.array(*[F.levenshtein(F.col(text), F.lit(p)) for p in PIVOTS]))
 
 
+def range_candidates(new: DataFrame, table: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs of different points of one space whose distances to the first pivot share a range."""
+
+    def side(points: DataFrame, name: str, reach: int) -> DataFrame:
+        low = F.floor((F.col("d")[0] - reach) / RANGE_WIDTH).cast("int")
+        ranges = F.explode(F.sequence(low, F.floor((F.col("d")[0] + reach) / RANGE_WIDTH).cast("int")))
+        term = F.col("term") if "term" in points.columns else F.lit(None).cast("long")
+        return points.select(F.col("point").alias(name), "space", F.col("text").alias(f"t{name}"), F.col("d").alias(f"d{name}"), term.alias(f"term{name}"), ranges.alias("range"))
+
+    return side(table, "a", 0).join(side(new, "b", radius), ["space", "range"]).filter("a <> b")
+
+
+def pivot_candidates(new: DataFrame, table: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Those pairs of ``range_candidates`` that the triangle inequality leaves by every pivot."""
+    met = range_candidates(new, table, radius)
+    for i in range(len(PIVOTS)):
+        met = met.filter(F.abs(F.col("da")[i] - F.col("db")[i]) <= radius)
+    return met
+
+
 def near_pairs(new: DataFrame, table: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b) = (point of ``table``, point of ``new``) of one space at most ``radius`` apart.
 
-    Both have point, space, text and ``d``.  The join is on space and range of
-    the first pivot's distance, so its work follows the points whose distances
-    let them be near.  Texts too short for a slip must be equal.
+    Both have point, space, text and ``d``, and may have ``term``: the entry of
+    the reference list that a text names; texts of different entries, or of an
+    entry and none, are different roles however near they are.  The join is on
+    space and range of the first pivot's distance, so its work follows the
+    points whose distances let them be near.  Texts too short for a slip must
+    be equal.
     """
-
-    def ranges(reach: int) -> Column:
-        low = F.floor((F.col("d")[0] - reach) / RANGE_WIDTH).cast("int")
-        return F.explode(F.sequence(low, F.floor((F.col("d")[0] + reach) / RANGE_WIDTH).cast("int")))
-
-    x = table.select(F.col("point").alias("a"), "space", F.col("text").alias("ta"), F.col("d").alias("da"), ranges(0).alias("range"))
-    y = new.select(F.col("point").alias("b"), "space", F.col("text").alias("tb"), F.col("d").alias("db"), ranges(radius).alias("range"))
-    pruned = [F.abs(F.col("da")[i] - F.col("db")[i]) <= radius for i in range(1, len(PIVOTS))]
-    met = x.join(y, ["space", "range"]).filter("a <> b")
-    for condition in pruned:
-        met = met.filter(condition)
-    met = met.filter(F.levenshtein("ta", "tb", radius) >= 0).select("a", "b", "ta", "tb")
+    met = pivot_candidates(new, table, radius)
+    met = met.filter(F.levenshtein("ta", "tb", radius) >= 0).filter("terma <=> termb").select("a", "b", "ta", "tb")
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -131,7 +151,7 @@ def near_pairs(new: DataFrame, table: DataFrame, radius: int = RADIUS) -> DataFr
 class Accepted(NamedTuple):
     """What is kept of the accepted rows: the pivot-distance table and the postings.
 
-    ``points``: point, space, text, d (distances to the pivots), class;
+    ``points``: point, space, text, term, d (distances to the pivots), class;
     ``links``: link, class, nth, first (a second row of a link brings the class
     that the first row lacked); ``counts``: class, host, links (how many links
     of a host a class has); ``heads``: class, nth, first.  All four are compact
@@ -168,13 +188,27 @@ def wording_classes(new: DataFrame, known: DataFrame | None = None) -> DataFrame
     return grouped.join(home, "class", "left").withColumn("class", F.coalesce("known", "class")).drop("known")
 
 
-def accept(rows: DataFrame, before: Accepted | None = None) -> tuple[DataFrame, Accepted]:
+def moved_points(points: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Points of organisations that turned out to be another, under that one's label.
+
+    ``aliases``: organisation, root.  The text stays, so its distances to the
+    pivots do too and nothing is measured; wordings that the other has already
+    are left to it.
+    """
+    named = points.withColumn("organisation", F.substring_index("space", "\x1f", 1)).join(aliases, "organisation")
+    space = F.concat("root", F.expr("substring(space, length(organisation) + 1, length(space))"))
+    moved = named.withColumn("space", space).withColumn("point", F.concat_ws("\x1e", "space", "text")).groupBy("point").agg(*[F.min_by(c, "class").alias(c) for c in points.columns if c != "point"])
+    return moved.select(*points.columns).join(points.select("point"), "point", "left_anti").select(*points.columns)
+
+
+def accept(rows: DataFrame, before: Accepted | None = None, aliases: DataFrame | None = None) -> tuple[DataFrame, Accepted]:
     """(ord, first) of the rows, and what is accepted after them.
 
     ``rows``: ord (sortable, unique), host, tenant, code (null without link),
-    space, text (null where the wording says too little).  ``first`` is the ord
-    of the first row of the posting that the row announces.  Rows of several
-    batches may come at once; ord decides which was first.
+    space, text (null where the wording says too little) and perhaps term.
+    ``first`` is the ord of the first row of the posting that the row announces.
+    Rows of several batches may come at once; ord decides which was first.
+    ``aliases`` names organisations that this batch showed to be others.
 
     Rows of one link are one posting.  Postings meet by wording only where
     their links cannot be compared: of the links of one host within a wording
@@ -183,12 +217,16 @@ def accept(rows: DataFrame, before: Accepted | None = None) -> tuple[DataFrame,
     row that brings one, with its own first row.  Hot links and wordings are
     aggregated to one row before anything is sorted or joined.
     """
+    if "term" not in rows.columns:
+        rows = rows.withColumn("term", F.lit(None).cast("long"))
+    if before and aliases is not None:
+        before = before._replace(points=before.points.unionByName(cut(moved_points(before.points, aliases))))
     rows = cut(
         rows.withColumn("link", F.when(F.col("host").isNotNull(), F.concat_ws("\x1f", "host", "tenant", "code")))
         .withColumn("point", F.when(F.col("space").isNotNull(), F.concat_ws("\x1e", "space", "text")))
-        .select("ord", "host", "link", "point", "space", "text")
+        .select("ord", "host", "link", "point", "space", "text", "term")
     )
-    points = rows.filter("point is not null").select("point", "space", "text").distinct()
+    points = rows.filter("point is not null").select("point", "space", "text", "term").distinct()
     if before:
         fresh = cut(wording_classes(with_pivots(points.join(before.points.select("point"), "point", "left_anti")), before.points))
         classes = points.join(before.points.select("point", "class"), "point").select("point", "class").unionByName(fresh.select("point", "class"))
@@ -231,25 +269,82 @@ def accept(rows: DataFrame, before: Accepted | None = None) -> tuple[DataFrame,
     counts = ranked.groupBy("class", "host").agg(F.count("*").alias("links"))
     if before:
         counts = counts.unionByName(before.counts).groupBy("class", "host").agg(F.sum("links").alias("links"))
-    table = fresh.select("point", "space", "text", "d", "class")
+    table = fresh.select("point", "space", "text", "term", "d", "class")
     return found, Accepted(table.unionByName(before.points) if before else table, links, counts, heads)
 
 
-def posting_points(rows: DataFrame, organisations: DataFrame, roles: DataFrame) -> DataFrame:
-    """Link and wording points of posting rows.
+def posting_points(parts: DataFrame, organisations: DataFrame, roles: DataFrame) -> DataFrame:
+    """Link and wording points of posting rows taken apart by ``posting_parts``.
 
-    ``rows``: ord, title, company, city, job_link; ``organisations``: name,
-    organisation (see ``names.link_names``); ``roles``: value, term_id (see
-    ``canonical.map_values``, over the roles of the titles).
+    ``organisations``: name, organisation (see ``names.extend_names``);
+    ``roles``: value, term_id, term_name (see ``canonical.map_values``).
     """
-    from postloom.llm.titles import title_parts
-
-    base = rows.select("ord", "company", "city", title_parts(F.col("title"), F.col("city")).alias("t"), link_parts(F.col("job_link")).alias("l"))
-    base = base.select("ord", "company", "city", "t.*", "l.*")
-    named = base.join(organisations.withColumnRenamed("name", "company"), "company", "left").join(roles.withColumnRenamed("value", "role"), "role", "left")
+    named = parts.join(organisations.withColumnRenamed("name", "company"), "company", "left").join(roles.withColumnRenamed("value", "role"), "role", "left")
     known = F.col("term_id") >= 0
     place = F.lower(F.trim("city"))
     words = F.array_join(F.array_sort(F.split(F.regexp_replace("role", "[,\\s]+", " "), " ")), " ")
     says = F.col("organisation").isNotNull() & (F.col("role") != "") & F.col("city").isNotNull() & (place != "")
-    space = F.concat_ws("\x1f", "organisation", place, "level", "field", "team", F.when(known, F.col("term_id").cast("string")).otherwise(""))
-    return named.select("ord", "host", "tenant", "code", F.when(says, space).alias("space"), F.when(says, F.when(known, "").otherwise(words)).alias("text"))
+    # the text of an entry is marked, for a typed role may read the same without being it
+    text = F.when(known, F.concat(F.lit("="), F.lower("term_name"))).otherwise(words)
+    space = F.concat_ws("\x1f", "organisation", place, "level", "field", "team")
+    return named.select("ord", "host", "tenant", "code", F.when(says, space).alias("space"), F.when(says, text).alias("text"), F.when(says & known, F.col("term_id")).alias("term"))
+
+
+def posting_parts(rows: DataFrame) -> DataFrame:
+    """ord, company and city of ``rows``, with their title and link taken apart."""
+    from postloom.llm.titles import title_parts
+
+    return rows.select("ord", "company", "city", title_parts(F.col("title"), F.col("city")).alias("t"), link_parts(F.col("job_link")).alias("l")).select("ord", "company", "city", "t.*", "l.*")
+
+
+class History(NamedTuple):
+    """All that later batches need of the accepted rows; the rows themselves are not needed.
+
+    ``accepted``: the pivot-distance table and the postings; ``names``: the
+    organisations of all names met; ``roles``: value, term_id of all roles met.
+    """
+
+    accepted: Accepted
+    names: NameIndex
+    roles: DataFrame
+
+    def save(self, folder: str) -> None:
+        self.accepted.save(f"{folder}/accepted")
+        self.names.save(f"{folder}/names")
+        self.roles.write.mode("overwrite").parquet(f"{folder}/roles")
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str) -> History:
+        return cls(Accepted.load(spark, f"{folder}/accepted"), NameIndex.load(spark, f"{folder}/names"), spark.read.parquet(f"{folder}/roles"))
+
+
+def accept_postings(rows: DataFrame, terms: DataFrame, aliases: dict[str, dict[str, list[str]]], before: History | None = None) -> tuple[DataFrame, History]:
+    """(ord, first) of posting rows, and the history that they leave.
+
+    ``rows``: ord, title, company, city, job_link; ``terms``: the reference
+    list with term_id, term_kind and canonical_name, and ``aliases`` its other
+    names.  Names and roles that the history holds are looked up, others are
+    linked and mapped, and nothing of the history is read but the tables that
+    ``History`` names.
+    """
+    spark = rows.sparkSession
+    ship(spark)
+    parts = cut(posting_parts(rows))
+    index = extend_names(parts.select(F.col("company").alias("name")), before.names if before else None)
+    index = index._replace(names=cut(index.names) if not before else index.names)
+    values = parts.select(F.col("role").alias("value"), F.lit("title").alias("kind")).filter("value <> ''").distinct()
+    if before:
+        values = values.join(before.roles.select("value"), "value", "left_anti")
+    fresh = cut(canonical.map_values(values, canonical.reference_entries(terms, aliases))).select("value", "term_id")
+    roles = fresh.unionByName(before.roles) if before else fresh
+    met = parts.select(F.col("company").alias("name")).filter("name is not null").distinct()
+    labels = cut(resolved(index.names.join(met, "name", "left_semi"), index.aliases))
+    wanted = parts.select(F.col("role").alias("value")).distinct()
+    names_of = terms.select("term_id", F.col("canonical_name").alias("term_name")).filter("term_id is not null").dropDuplicates(["term_id"])
+    mapped = cut(roles.join(wanted, "value", "left_semi").join(names_of, "term_id", "left"))
+    labels = F.broadcast(labels) if small_enough(labels, 120) else labels
+    mapped = F.broadcast(mapped) if small_enough(mapped, 80) else mapped
+    points = posting_points(parts, labels, mapped)
+    moved = cut(index.aliases.join(before.names.aliases, ["organisation", "root"], "left_anti")) if before else None
+    found, accepted = accept(points, before.accepted if before else None, moved)
+    return found, History(accepted, index, roles)

@@ -21,20 +21,13 @@ def _mapped(values: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of new batches that repeat a posting, with that posting's first row.
 
-    History is accepted first; the new batches then meet its table only.
+    History is accepted first; the new batches then meet its tables only.
     """
     rows = spread_out(read_table(spark, sf_dir, "upload_rows").select("row_id", "batch_no", "title", "company", "city", "job_link"))
     rows = rows.withColumn("ord", F.struct("batch_no", "row_id"))
-    organisations = cut(names.link_names(rows.select(F.col("company").alias("name"))))
-    roles = rows.select(title_parts(F.col("title"), F.col("city"))["role"].alias("value")).filter("value <> ''").withColumn("kind", F.lit("title"))
-    roles = _mapped(roles, spark, sf_dir).select("value", "term_id")
-    if small_enough(organisations, 120):
-        organisations = F.broadcast(organisations)
-    if small_enough(roles, 60):
-        roles = F.broadcast(roles)
-    points = cut(pivots.posting_points(rows, organisations, roles))
-    _, history = pivots.accept(points.filter("ord.batch_no = 0"))
-    found, _ = pivots.accept(points.filter("ord.batch_no >= 1"), history)
+    terms = read_table(spark, sf_dir, "canonical_terms")
+    _, history = pivots.accept_postings(rows.filter("batch_no = 0"), terms, ALIASES)
+    found, _ = pivots.accept_postings(rows.filter("batch_no >= 1"), terms, ALIASES, history)
     return found.filter("first <> ord").select(F.col("first.row_id").alias("row_id_a"), F.col("ord.row_id").alias("row_id_b"))
 
 

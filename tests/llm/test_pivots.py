@@ -128,3 +128,67 @@ def test_empty(spark):
     assert firsts(spark, []) == {}
     assert pivots.near_pairs(pivots.with_pivots(spark.createDataFrame([], "point string, space string, text string")), pivots.with_pivots(spark.createDataFrame([], "point string, space string, text string"))).count() == 0
     assert spark.range(1).select(pivots.link_parts(F.lit(None).cast("string")).alias("l")).first().l.host is None
+
+
+ROWS = "ord int, title string, company string, city string, job_link string"
+TERMS = [(1, "title", "Graphic Designer"), (2, "title", "UX Designer"), (3, "title", "UI Designer")]
+
+
+def batch(spark, rows):
+    return spark.createDataFrame(rows, ROWS).selectExpr("*", "'x' as organisation", "1 as term_id", "2 as space")
+
+
+def test_a_batch_with_a_lower_sorting_spelling_finds_its_repeats(spark, tmp_path):
+    terms = spark.createDataFrame(TERMS, "term_id long, term_kind string, canonical_name string")
+    first = [
+        (1, "Graphic Designer", "Walter Huber Design", "Graz", None), (2, "UX Designer", "Walter Huber Design", "Graz", None),
+        (3, "Night Auditor", "Boda Tralute Media", "Leeds", "https://boards.talentarc.example/boda/jobs/20230165"), (4, None, None, None, None),
+    ]
+    found, kept = pivots.accept_postings(batch(spark, first), terms, {})
+    assert {r.ord: r.first for r in found.collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+    kept.save(str(tmp_path / "h"))
+    kept = pivots.History.load(spark, str(tmp_path / "h"))
+    second = [
+        (5, "Graphic Desinger", "Walter Hber Design", "graz", None),  # a spelling that sorts lower than the stored label
+        (6, "UI Designer", "Walter Hber Design", "Graz", None),  # one letter from a stored role, but another entry
+        (7, "Night Auditro", "Boda Tralute Media GmbH", "Leeds", None),  # a typed role with a slip
+        (8, "Cook", "", "", "http://WWW.boards.talentarc.example/boda/jobs/20230165/apply"),
+    ]
+    found, kept = pivots.accept_postings(batch(spark, second), terms, {}, kept)
+    assert {r.ord: r.first for r in found.collect()} == {5: 1, 6: 6, 7: 3, 8: 3}
+    found, kept = pivots.accept_postings(batch(spark, []), terms, {}, kept)
+    assert found.count() == 0
+    found, _ = pivots.accept_postings(batch(spark, [(9, "UI Designer", "W. Huber Design", "Graz", None)]), terms, {}, kept)
+    assert {r.ord: r.first for r in found.collect()} == {9: 6}
+
+
+def test_points_move_when_two_organisations_are_one(spark):
+    terms = spark.createDataFrame(TERMS, "term_id long, term_kind string, canonical_name string")
+    _, kept = pivots.accept_postings(batch(spark, [(1, "Cook", "Walter Hubermann Design", "Graz", None), (2, "Night Auditor", "Walter Hbermnn Design", "Graz", None)]), terms, {})
+    found, kept = pivots.accept_postings(batch(spark, [(3, "Cook", "Walter Hbermann Design", "Graz", None), (4, "Night Auditor", "Walter Hbermann Design", "Graz", None)]), terms, {}, kept)
+    assert {r.ord: r.first for r in found.collect()} == {3: 1, 4: 2}
+    assert kept.accepted.points.groupBy("point").count().filter("count > 1").count() == 0
+
+
+def test_a_later_batch_reads_tables_of_the_history_and_no_rows(spark, tmp_path):
+    terms = spark.createDataFrame(TERMS, "term_id long, term_kind string, canonical_name string")
+    rows = batch(spark, [(i, "Cook", f"Company{chr(97 + i)}{chr(97 + i)} Design", "Graz", f"https://h.example/{20000 + i}") for i in range(20)])
+    rows.write.parquet(str(tmp_path / "rows"))
+    _, kept = pivots.accept_postings(spark.read.parquet(str(tmp_path / "rows")), terms, {})
+    kept.save(str(tmp_path / "h"))
+    kept = pivots.History.load(spark, str(tmp_path / "h"))
+    found, after = pivots.accept_postings(batch(spark, [(30, "Cook", "Companyaa Design", "Graz", None)]), terms, {}, kept)
+    for df in (found, after.accepted.points, after.accepted.links, after.names.names, after.roles):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert str(tmp_path / "rows") not in plan and "job_link" not in plan
+    assert {r.ord: r.first for r in found.collect()} == {30: 0}
+
+
+def test_pivots_prune_what_ranges_leave(spark):
+    rng = random.Random(5)
+    roles = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(6, 26))) for _ in range(150)]
+    roles += [r[:-1] + "z" for r in roles[:20]]
+    points = pivots.with_pivots(spark.createDataFrame([(f"p{i}", "s", w) for i, w in enumerate(roles)], "point string, space string, text string"))
+    all_pairs = len(roles) * (len(roles) - 1)
+    ranged, pruned, near = pivots.range_candidates(points, points).select("a", "b").distinct().count(), pivots.pivot_candidates(points, points).count(), pivots.near_pairs(points, points).count()
+    assert near >= 40 and near <= pruned < 0.6 * ranged and ranged < all_pairs / 2
