@@ -144,19 +144,22 @@ def as_wide(line: str, read_as: str, really: str) -> str:
 
 def may_be_wide(stretch: str) -> bool:
     """Whether a stretch between blanks holds signs enough for two misread multi-byte characters."""
+    if stretch.isascii():
+        return False
     high = sum(map(len, HIGH.findall(stretch)))
     return high >= 2 and high * WIDE_SHARE >= len(stretch)
 
 
-def wide_stretches(line: str, read_as: str, really: str) -> str:
-    """The line with the stretches that may be garbled read by a multi-byte encoding, the others as they are.
+def wide_stretches(line: str, read_as: str, really: str, places: list[int] | None = None) -> str:
+    """The line with the stretches that may be garbled (those at ``places``, where known) read by a multi-byte encoding, the others as they are.
 
     A stretch must become Japanese of two signs at least, so that sound words with accents stay.
     """
-    out = []
-    for stretch in line.split(" "):
-        new = as_wide(stretch, read_as, really) if may_be_wide(stretch) else stretch
-        out.append(new if WIDE_WORD.search(new) and not HALF_WIDTH.search(new) else stretch)
+    out = line.split(" ")
+    for k in [k for k, stretch in enumerate(out) if may_be_wide(stretch)] if places is None else places:
+        new = as_wide(out[k], read_as, really)
+        if WIDE_WORD.search(new) and not HALF_WIDTH.search(new):
+            out[k] = new
     return " ".join(out)
 
 
@@ -169,6 +172,13 @@ MIXED = re.compile("[A-Za-zÀ-ɏ][Ѐ-ӿ]|[Ѐ-ӿ][A-Za-zÀ-ɏ]|[Ѐ-ӿ][぀-鿿]|[
 #: A capital beyond ASCII inside a word of small letters.
 ODD_CASE = re.compile("[a-zà-öø-ÿ][À-ÖØ-Þ]|[а-яё][А-ЯЁ]")
 CONTROL = re.compile("[\x7f-\x9f]")
+#: Punctuation that a misread letter may turn out to be.
+MARKS = "’‘“”–—…•€"
+# Latin letters beyond ASCII of the languages for which there are dictionaries, and of neighbours' names.
+LETTERS = frozenset("àâäáãåæçéèêëíîïñóôöõøœúùûüßÿąćęłńśźż" "ÀÂÄÁÃÅÇÉÈÊËÍÎÏÑÓÔÖÕØÚÙÛÜĄĆĘŁŃŚŹŻ")
+LATIN_BEYOND = re.compile("[À-ÖØ-öø-ɏ]")
+#: Two signs beyond ASCII in one stretch between blanks.
+TWO_HIGH = re.compile("[^\x00-\x7f][^ ]*[^\x00-\x7f]")
 
 
 CYRILLIC = re.compile("[Ѐ-ӿ]")
@@ -196,64 +206,118 @@ def plausible(old: str, new: str, utf8: bool) -> bool:
         return False
     if len(old) != len(new):
         return True
-    changed = [i for i, (a, b) in enumerate(zip(old, new)) if a != b]
-    for i in changed:
-        if new[i].isupper() and i and new[i - 1].islower():
-            return False
-        inside = new[i - 1 : i].isalpha() and new[i + 1 : i + 2].isalpha()
-        if old[i].isalpha() and not new[i].isalpha() and new[i] != "’" and (inside or new[i] not in "‘“”–—…•€"):
-            return False
-    return any(new[i] == "’" or new[i].isalpha() and (new[i - 1 : i].isalpha() or new[i + 1 : i + 2].isalpha()) for i in changed)
+    return word_signs(old, {i: b for i, (a, b) in enumerate(zip(old, new)) if a != b})
+
+
+@lru_cache(maxsize=None)
+def lead_signs(read_as: str, really: str) -> frozenset[str]:
+    """Signs that may begin a multi-byte character of ``really`` when they are misread by ``read_as``."""
+    first = (range(0x81, 0xA0), range(0xE0, 0xFD), range(0xA1, 0xE0)) if really == "cp932" else (range(0xA1, 0xFF), range(0x8E, 0x90))
+    leads = {chr(b) for part in first for b in part}
+    return frozenset(c for c, b in to_byte(read_as).items() if b in leads)
 
 
-@lru_cache(maxsize=100_000)
-def viable(chars: frozenset[str]) -> tuple[tuple[str, ...], tuple[tuple[str, str], ...]]:
-    """Steps that the characters of a line allow at all: (encodings for UTF-8, other pairs).
+@lru_cache(maxsize=200_000)
+def viable(chars: frozenset[str], run: int) -> tuple[tuple[str, ...], tuple[tuple[str, str], ...], tuple[tuple[str, str], ...]]:
+    """Steps that a line's signs beyond ASCII, and their longest run (up to 3), allow at all: (encodings for UTF-8, other pairs, multi-byte pairs).
 
-    UTF-8 needs a character for a leading byte and one for a continuation; a
-    pair must change something and bring no script or control sign that no text
-    has.  Lines share few sets of characters, so this is mostly remembered.
+    UTF-8 needs a sign for a leading byte and one for a continuation together.
+    A pair must change something; it is out where what ``plausible`` forbids
+    follows from the signs alone, wherever they stand.  Lines share few sets of
+    signs, so this is mostly remembered.
     """
     utf8 = []
-    for codec in READ_AS:
+    for codec in READ_AS if run >= 2 else ():
         codes = [ord(x) for x in map(to_byte(codec).get, chars) if x]
         if any(0xC2 <= b <= 0xF4 for b in codes) and any(0x80 <= b <= 0xBF for b in codes):
             utf8.append(codec)
+    old = "".join(chars)
+    foreign, control = bool(FOREIGN.search(old)), bool(CONTROL.search(old))
     pairs = []
     for pair in OTHER_PAIRS:
-        new = [x for x in (single_table(*pair).get(ord(c)) for c in chars) if x]
-        if new and not FOREIGN.search("".join(new)) and not all(CONTROL.fullmatch(x) for x in new):
-            pairs.append(pair)
-    return tuple(utf8), tuple(pairs)
+        table = single_table(*pair)
+        new = {c: table[ord(c)] for c in chars if ord(c) in table}
+        text = "".join(new.values())
+        if not text or not foreign and FOREIGN.search(text) or not control and CONTROL.search(text):
+            continue
+        if any(a.isalpha() and not b.isalpha() and b not in MARKS or LATIN_BEYOND.fullmatch(b) and b not in LETTERS for a, b in new.items()):
+            continue
+        if not any(b.isalpha() or b == "’" for b in new.values()):
+            continue
+        if any(run < least and script.search(text) and not script.search(old) for script, least in ((CYRILLIC, 3), (EAST, 2))):
+            continue
+        pairs.append(pair)
+    return tuple(utf8), tuple(pairs), tuple(pair for pair in WIDE_PAIRS if not chars.isdisjoint(lead_signs(*pair)))
 
 
-def candidates(line: str, room: float = float("inf")) -> Iterator[tuple[str, str, float]]:
-    """(chain step, decoded line, cost) of each plausible decoding that changes the line.
+def steps_of(line: str) -> tuple[tuple[str, ...], tuple[tuple[str, str], ...], tuple[tuple[str, str], ...]]:
+    """The viable steps of a line; none for plain ASCII."""
+    runs = HIGH.findall(line)
+    return viable(frozenset("".join(runs)), min(3, max(map(len, runs)))) if runs else ((), (), ())
 
-    Steps that cost more than ``room``, the most that may be gained, are left out.
-    """
-    high = "".join(HIGH.findall(line))
-    utf8, pairs = viable(frozenset(high))
-    for codec in utf8:
+
+def utf8_candidates(line: str, codecs: tuple[str, ...]) -> Iterator[tuple[str, str, float]]:
+    """(chain step, decoded line, cost) of each plausible step to UTF-8."""
+    for codec in codecs:
         new = as_utf8(line, codec)
         if new != line and plausible(line, new, True):
             yield f"{codec}>utf_8", new, UTF8_COST
-    if room <= OTHER_COST and not ODD_CASE.search(line):
-        return
+
+
+def word_signs(line: str, at: dict[int, str]) -> bool:
+    """Whether signs of a line may be replaced as ``at`` says, by the signs beside them alone (see ``plausible``)."""
+    end, word = len(line) - 1, False
+    for i, b in at.items():
+        before = (at.get(i - 1) or line[i - 1]) if i else " "
+        after = (at.get(i + 1) or line[i + 1]) if i < end else " "
+        if b.isupper() and before.islower():
+            return False
+        letter = b.isalpha()
+        if not letter and b != "’" and line[i].isalpha() and (b not in MARKS or before.isalpha() and after.isalpha()):
+            return False
+        word = word or b == "’" or letter and (before.isalpha() or after.isalpha())
+    return word
+
+
+def pair_candidates(line: str, pairs: tuple[tuple[str, str], ...]) -> Iterator[tuple[str, str, float]]:
+    """(chain step, decoded line, cost) of each plausible step between single-byte encodings."""
+    spots = [(i, ord(c)) for i, c in enumerate(line) if c > "\x7f"] if pairs else []
     for read_as, really in pairs:
-        new = line.translate(single_table(read_as, really))
-        if new != line and plausible(line, new, False):
+        table = single_table(read_as, really)
+        if not word_signs(line, {i: table[c] for i, c in spots if c in table}):
+            continue
+        new = line.translate(table)
+        if plausible(line, new, False):
             mended = len(ODD_CASE.findall(line)) - len(ODD_CASE.findall(new))
             yield f"{read_as}>{really}", new, max(UTF8_COST, OTHER_COST - ODD_VALUE * mended)
-    whole = len(high) * WIDE_SHARE >= len(line)
-    if not whole and not any(map(may_be_wide, line.split(" "))):
+
+
+def wide_candidates(line: str, pairs: tuple[tuple[str, str], ...]) -> Iterator[tuple[str, str, float]]:
+    """(chain step, decoded line, cost) of each plausible step to a multi-byte encoding."""
+    if not pairs:
         return
-    for read_as, really in WIDE_PAIRS:
-        new = as_wide(line, read_as, really) if whole else wide_stretches(line, read_as, really)
+    whole = sum(map(len, HIGH.findall(line))) * WIDE_SHARE >= len(line)
+    places = [k for k, stretch in enumerate(line.split(" ")) if may_be_wide(stretch)] if not whole and TWO_HIGH.search(line) else []
+    if not whole and not places:
+        return
+    for read_as, really in pairs:
+        new = as_wide(line, read_as, really) if whole else wide_stretches(line, read_as, really, places)
         if new != line and plausible(line, new, False):
             yield f"{read_as}>{really}", new, OTHER_COST
 
 
+def candidates(line: str) -> list[tuple[list[str], str, float]]:
+    """(chain, decoded line, cost) of each plausible decoding of one step, or of two through UTF-8.
+
+    Two are looked ahead, for a text garbled twice may get no shorter before
+    its second step.
+    """
+    utf8, pairs, wide = steps_of(line)
+    once = list(utf8_candidates(line, utf8))
+    out = [([step], new, cost) for step, new, cost in (*once, *pair_candidates(line, pairs), *wide_candidates(line, wide))]
+    return out + [([first, step], new, cost + more) for first, mid, cost in once for step, new, more in utf8_candidates(mid, steps_of(mid)[0])]
+
+
 class Judge:
     """Description lengths by the dictionaries of the languages."""
 
@@ -307,21 +371,24 @@ def is_mention(line: str) -> bool:
 def restore_line(line: str, lang: str | None, judge: Judge) -> tuple[str, str]:
     """(restored line, chain); the chain is empty where the line stays as it is.
 
-    Up to two steps are looked ahead, for a text garbled twice may get no
-    shorter before its second step.
+    Most sound lines have no plausible decoding and are not compressed at all;
+    of the others those decodings are that may gain more than their chain costs.
     """
-    if line.isascii():
-        return line, ""
     current, steps = line, []
-    langs = (lang, "en") if lang else ()
-    length = judge.candidate_length(line, langs) if lang else math.inf
-    if length > FAMILIAR * len(line):
-        length, home = judge.length(line)
-        langs = (home, *langs)
+    langs, length = (), math.inf
     while len(steps) < MAX_STEPS and not current.isascii():
-        options = [([step], new, cost) for step, new, cost in candidates(current, length - SHORTEST)]
-        options += [([*first, step], new, cost + more) for first, mid, cost in options if first[0].endswith(">utf_8") for step, new, more in candidates(mid) if step.endswith(">utf_8")]
-        best = min(((judge.candidate_length(new, langs) + cost, k) for k, (_, new, cost) in enumerate(options)), default=None)
+        options = candidates(current)
+        if not options:
+            break
+        if not steps:
+            langs = (lang, "en") if lang else ()
+            length = judge.candidate_length(line, langs) if lang else math.inf
+            if length > FAMILIAR * len(line):
+                length, home = judge.length(line)
+                langs = (home, *langs)
+        odd = ODD_CASE.search(current)
+        lengths = ((judge.candidate_length(new, langs) + cost, k) for k, (_, new, cost) in enumerate(options) if odd or cost < OTHER_COST or cost < length - SHORTEST)
+        best = min(lengths, default=None)
         if best is None or best[0] >= length or (not steps and is_mention(current)):
             break
         taken, current, cost = options[best[1]]
