@@ -34,6 +34,9 @@ SAMPLE_TEXTS = 24_000
 SAMPLE_PER_LANGUAGE = 800
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 17
+#: Level of the quick first look at a decoding, and the bytes that its lengths may be off in comparison.
+QUICK_LEVEL = 3
+QUICK_SLACK = 6
 #: Description length, in bytes, of one step to UTF-8 and of one step between other encodings.
 UTF8_COST = 1.0
 OTHER_COST = 6.0
@@ -59,6 +62,7 @@ OTHER_PAIRS = (
 WIDE_PAIRS = (("western", "cp932"), ("western", "euc_jp"), ("mac_roman", "cp932"), ("mac_roman", "euc_jp"), ("cp1251", "cp932"))
 UTF8_BYTES = re.compile("[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
 HIGH = re.compile(r"[^\x00-\x7f]+")
+NO_BYTE, BYTES = "\u0100", re.compile("[\x00-\xff]+")
 #: Signs of damage that keep a text out of the dictionaries, and never occur in sound text.
 DAMAGE = re.compile("[\x80-\x84\x86-\x9f�]|[ÃÂ][\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹Œ‘’“”•–—˜™š›œžŸ]|â€|ï¿½|[ÐÑ][\x80-\xbf‚ƒ„…†‡ˆ‰]|[РС][Ѐ-Џѐ-џ°±µ·»]|√[©®†≠≥§∂º°¥ß]|[├┬]|ΓÇ|Ĺ[\x80-\xbf‚›ş]|Ă[łłĽ]")
 LOST = re.compile("�|ï¿½")
@@ -100,46 +104,38 @@ def _utf8(m: re.Match) -> str:
         return m.group()
 
 
-def as_utf8(line: str, read_as: str) -> str:
-    """The line with every stretch that is UTF-8 when taken as bytes of ``read_as``."""
-    table = to_byte(read_as)
+@lru_cache(maxsize=None)
+def byte_table(codec: str) -> dict[int, str]:
+    """Translation of a text to the bytes that a single-byte encoding gave, as Latin-1; signs that it cannot give become no byte."""
+    return {b: NO_BYTE for b in range(128, 256)} | {ord(c): b for c, b in to_byte(codec).items()}
 
-    def run(m: re.Match) -> str:
-        text = m.group()
-        low = "".join(table.get(c, "Ā") for c in text)
-        if not UTF8_BYTES.search(low):
-            return text
-        out, at = [], 0
-        for hit in UTF8_BYTES.finditer(low):
-            out += [text[at : hit.start()], _utf8(hit) if _utf8(hit) != hit.group() else text[hit.start() : hit.end()]]
-            at = hit.end()
-        return "".join(out) + text[at:]
 
-    return HIGH.sub(run, line)
+def as_utf8(line: str, read_as: str) -> str:
+    """The line with every stretch that is UTF-8 when taken as bytes of ``read_as``."""
+    low = line.translate(byte_table(read_as))
+    hit = UTF8_BYTES.search(low)
+    if not hit:
+        return line
+    out, at = [], 0
+    for hit in UTF8_BYTES.finditer(low):
+        new = _utf8(hit)
+        out += [line[at : hit.start()], new if new != hit.group() else line[hit.start() : hit.end()]]
+        at = hit.end()
+    return "".join(out) + line[at:]
 
 
 def as_wide(line: str, read_as: str, really: str) -> str:
     """The line read by a multi-byte encoding, in the stretches that allow it."""
-    table = to_byte(read_as)
-    out, part = [], []
-
-    def flush() -> None:
-        if part:
-            raw = "".join(table.get(c, c) for c in part)
-            try:
-                out.append(raw.encode("latin-1").decode(really))
-            except (UnicodeDecodeError, UnicodeEncodeError):
-                out.append("".join(part))
-            part.clear()
-
-    for c in line:
-        if c < "\x80" or c in table:
-            part.append(c)
-        else:
-            flush()
-            out.append(c)
-    flush()
-    return "".join(out)
+    low = line.translate(byte_table(read_as))
+    out, at = [], 0
+    for part in BYTES.finditer(low):
+        try:
+            new = part.group().encode("latin-1").decode(really)
+        except UnicodeDecodeError:
+            continue
+        out += [line[at : part.start()], new]
+        at = part.end()
+    return "".join(out) + line[at:]
 
 
 def may_be_wide(stretch: str) -> bool:
@@ -322,27 +318,40 @@ class Judge:
     """Description lengths by the dictionaries of the languages."""
 
     def __init__(self, dictionaries: dict[str, bytes]):
-        self.by_language = {}
-        for lang, raw in dictionaries.items():
-            kind = zstandard.DICT_TYPE_FULLDICT if raw[:4] == b"\x37\xa4\x30\xec" else zstandard.DICT_TYPE_RAWCONTENT
-            data = zstandard.ZstdCompressionDict(raw, dict_type=kind)
-            data.precompute_compress(level=LEVEL)
-            self.by_language[lang] = zstandard.ZstdCompressor(level=LEVEL, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False)
+        self.by_language = {lang: self._compressor(raw, LEVEL) for lang, raw in dictionaries.items()}
+        self.quick = {lang: self._compressor(raw, QUICK_LEVEL) for lang, raw in dictionaries.items()}
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
 
-    def length(self, text: str, names: tuple[str, ...] | None = None) -> tuple[int, str]:
+    @staticmethod
+    def _compressor(raw: bytes, level: int) -> zstandard.ZstdCompressor:
+        kind = zstandard.DICT_TYPE_FULLDICT if raw[:4] == b"\x37\xa4\x30\xec" else zstandard.DICT_TYPE_RAWCONTENT
+        data = zstandard.ZstdCompressionDict(raw, dict_type=kind)
+        data.precompute_compress(level=level)
+        return zstandard.ZstdCompressor(level=level, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    def length(self, text: str, names: tuple[str, ...] | None = None, quick: bool = False) -> tuple[int, str]:
         """(bytes, language) of the text by the best dictionary, of ``names`` or of all."""
         raw = text.encode("utf-8", "surrogatepass")
-        known = {n: self.by_language[n] for n in names or self.by_language if n in self.by_language} or {"": self.plain}
+        table = self.quick if quick else self.by_language
+        known = {n: table[n] for n in names or table if n in table} or {"": self.plain}
         return min((len(c.compress(raw)), n) for n, c in known.items())
 
-    def candidate_length(self, text: str, langs: tuple[str, ...]) -> int:
+    def candidate_length(self, text: str, langs: tuple[str, ...], quick: bool = False) -> int:
         """Bytes of a decoding by the dictionaries that its script allows."""
         if EAST.search(text):
             langs += ("ja",)
         if CYRILLIC.search(text):
             langs += ("ru",)
-        return self.length(text, tuple(dict.fromkeys(langs)))[0]
+        return self.length(text, tuple(dict.fromkeys(langs)), quick)[0]
+
+    def home(self, line: str, lang: str | None, quick: bool = False) -> tuple[tuple[str, ...], int]:
+        """The languages by which a line's decodings are measured, and its own length: its declared one where it is at home, else by all."""
+        langs = (lang, "en") if lang else ()
+        length = self.candidate_length(line, langs, quick) if lang else math.inf
+        if length > FAMILIAR * len(line):
+            length, best = self.length(line, None, quick)
+            langs = (best, *langs)
+        return langs, length
 
 
 def language(lang: str | None) -> str | None:
@@ -375,17 +384,21 @@ def restore_line(line: str, lang: str | None, judge: Judge) -> tuple[str, str]:
     of the others those decodings are that may gain more than their chain costs.
     """
     current, steps = line, []
-    langs, length = (), math.inf
+    langs: tuple[str, ...] = ()
+    length = math.inf
     while len(steps) < MAX_STEPS and not current.isascii():
         options = candidates(current)
         if not options:
             break
         if not steps:
-            langs = (lang, "en") if lang else ()
-            length = judge.candidate_length(line, langs) if lang else math.inf
-            if length > FAMILIAR * len(line):
-                length, home = judge.length(line)
-                langs = (home, *langs)
+            langs, _ = judge.home(line, lang, True)
+        # a quick look tells which decodings are far from winning; the others are measured
+        least = judge.candidate_length(current, langs, True) + QUICK_SLACK
+        options = [o for o in options if judge.candidate_length(o[1], langs, True) + o[2] < least]
+        if not options:
+            break
+        if not steps:
+            langs, length = judge.home(line, lang)
         odd = ODD_CASE.search(current)
         lengths = ((judge.candidate_length(new, langs) + cost, k) for k, (_, new, cost) in enumerate(options) if odd or cost < OTHER_COST or cost < length - SHORTEST)
         best = min(lengths, default=None)
