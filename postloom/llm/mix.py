@@ -3,15 +3,18 @@
 The tokens of each source are packed, in pseudorandom document order, into
 blocks of fixed length.  A mix has so many slots of one block as its size asks
 for; every source gets its number of slots, at most ``max_repeats`` passes over
-its blocks.  Slots fall into output shards by a pseudorandom permutation, so
-the source counts of a shard are multinomial draws under the condition that
-the totals are met.  Slot numbers go through a pseudorandom permutation of the
-source's block numbers, a new one for each pass, and blocks are joined by
-number.
+its blocks.  Each output shard draws the source counts of its slots from a
+multinomial distribution, with a generator of its own.  The draws of all shards
+together miss the sources' numbers by a little, so a correction follows: slots
+drawn too many, chosen by a pseudorandom permutation, go to sources drawn too
+few, and every number is met exactly.  Slot numbers go through a pseudorandom
+permutation of the source's block numbers, a new one for each pass, and blocks
+are joined by number.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +28,10 @@ from postloom.session import cut, small_enough
 BLOCK_TOKENS = 128
 SHARD_SLOTS = 1024
 SEED = 20_260_625
-#: Ranges of the pseudorandom order in which each source is summed up.
-ORDER_RANGES = 512
-SLOT_CHUNK = 50_000
+#: Documents in one range of the pseudorandom order in which each source is summed up.
+RANGE_ROWS = 20_000
+#: Shards that are drawn together and summed up together.
+SHARD_CHUNK = 256
 
 
 def _mix64(x: np.ndarray) -> np.ndarray:
@@ -75,7 +79,8 @@ def packed(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """
     order = F.xxhash64("doc_id", F.lit(SEED))
     held = docs.filter("source is not null and n_tokens > 0").select("source", "doc_id", "n_tokens", order.alias("o"))
-    held = held.withColumn("range", F.floor((F.col("o").cast("double") / 2.0**64 + 0.5) * ORDER_RANGES).cast("int"))
+    ranges = max(1, -(-held.count() // RANGE_ROWS))
+    held = held.withColumn("range", F.floor((F.col("o").cast("double") / 2.0**64 + 0.5) * ranges).cast("int"))
     sums = held.groupBy("source", "range").agg(F.sum("n_tokens").alias("in_range"))
     before = sums.withColumn("before", F.sum("in_range").over(W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, -1)))
     before = cut(before.select("source", "range", F.coalesce("before", F.lit(0)).alias("before")))
@@ -109,27 +114,82 @@ def slot_plan(targets: DataFrame, sources: DataFrame, total_tokens: int, block_t
     return held.withColumn("blocks", blocks.cast("bigint")).withColumn("slots", F.least(wanted, F.col("blocks") * F.col("max_repeats"))).withColumn("short", F.col("slots") < wanted)
 
 
+def shard_counts(mix_name: str, shard: int, size: int, shares: np.ndarray) -> np.ndarray:
+    """Slots of each source in one shard: a multinomial draw, the same each time it is made."""
+    seed = [SEED, shard, *mix_name.encode("utf-8")]
+    return np.random.Generator(np.random.Philox(np.random.SeedSequence(seed))).multinomial(size, shares)
+
+
+def corrected(number: np.ndarray, source: np.ndarray, drawn_slots: np.ndarray, slots: np.ndarray, key: int) -> tuple[np.ndarray, np.ndarray]:
+    """(source, number within it) of slots after the correction.
+
+    ``number`` counts a source's drawn slots over all shards.  Of a source that
+    was drawn too often those slots stay whose permuted number falls below its
+    ``slots``; the others are numbered, permuted, and fill up the sources that
+    were drawn too rarely.
+    """
+    over = np.maximum(drawn_slots - slots, 0)
+    under = np.maximum(slots - drawn_slots, 0)
+    place = permute(number, drawn_slots[source], key + source)
+    freed = place >= slots[source]
+    start = np.concatenate([[0], np.cumsum(over)])[source]
+    given = permute(np.where(freed, start + place - slots[source], 0), np.full(len(number), max(1, int(over.sum()))), np.full(len(number), key))
+    ends = np.cumsum(under)
+    taker = np.minimum(np.searchsorted(ends, given, side="right"), len(slots) - 1)
+    filled = drawn_slots[taker] + given - (ends[taker] - under[taker])
+    return np.where(freed, taker, source), np.where(freed, filled, place)
+
+
 def drawn(plan: DataFrame) -> DataFrame:
-    """(mix_name, source, shard, position, block, pass): one row for each slot."""
-    offset = F.sum("slots").over(W.partitionBy("mix_name").orderBy("source_name").rowsBetween(W.unboundedPreceding, -1))
-    numbered = plan.withColumn("first", F.coalesce(offset, F.lit(0))).withColumn("mix_slots", F.sum("slots").over(W.partitionBy("mix_name"))).filter("slots > 0")
-    chunks = numbered.select(
-        "mix_name", F.col("source_name").alias("source"), "blocks", "first", "mix_slots", "slots",
-        F.abs(F.xxhash64("mix_name", F.lit(SEED)) % 1_000_003).alias("mix_key"), F.abs(F.xxhash64("mix_name", "source_name") % 1_000_003).alias("source_key"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("slots") - 1) / SLOT_CHUNK))).alias("chunk"),
-    )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                j = np.arange(r.chunk * SLOT_CHUNK, min(r.slots, (r.chunk + 1) * SLOT_CHUNK), dtype=np.int64)
-                turn = j // r.blocks
-                block = permute(j % r.blocks, r.blocks, r.source_key + turn * 7919)
-                position = permute(r.first + j, r.mix_slots, r.mix_key)
-                yield pd.DataFrame({"mix_name": r.mix_name, "source": r.source, "shard": position // SHARD_SLOTS, "position": position, "block": block, "turn": turn + 1})
+    """(mix_name, source, shard, position, block, turn): one row for each slot.
 
+    ``plan`` has one row for each target, so the sources of a mix are few; the
+    shards are many and are drawn and summed up in chunks of ``SHARD_CHUNK``.
+    """
+    sources = plan.filter("slots > 0").groupBy("mix_name").agg(F.array_sort(F.collect_list(F.struct("source_name", "slots", "blocks"))).alias("sources"), F.sum("slots").alias("mix_slots"))
+    last = F.floor((F.col("mix_slots") - 1) / (SHARD_SLOTS * SHARD_CHUNK))
+    chunks = sources.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     parts = max(1, chunks.sparkSession.sparkContext.defaultParallelism)
-    return chunks.repartition(parts, "mix_name", "source", "chunk").mapInPandas(run, "mix_name string, source string, shard long, position long, block long, turn long")
+
+    def draw(mix_name: str, chunk: int, mix_slots: int, slots: np.ndarray) -> tuple[range, list[int], np.ndarray]:
+        shards = range(chunk * SHARD_CHUNK, min((chunk + 1) * SHARD_CHUNK, -(-mix_slots // SHARD_SLOTS)))
+        sizes = [min(SHARD_SLOTS, mix_slots - k * SHARD_SLOTS) for k in shards]
+        return shards, sizes, np.array([shard_counts(mix_name, k, n, slots / slots.sum()) for k, n in zip(shards, sizes)], dtype=np.int64)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                _, _, counts = draw(r.mix_name, r.chunk, r.mix_slots, np.array([x["slots"] for x in r.sources], dtype=np.int64))
+                yield pd.DataFrame({"mix_name": r.mix_name, "chunk": r.chunk, "counts": [counts.sum(axis=0).tolist()]})
+
+    spread = chunks.repartition(parts, "mix_name", "chunk")
+    counted = cut(spread.mapInPandas(count, "mix_name string, chunk long, counts array<bigint>"))
+    # slots drawn before each chunk, and in all: one row for a chunk of shards, summed up by source
+    each = counted.select("mix_name", "chunk", F.posexplode("counts").alias("at", "n"))
+    run = W.partitionBy("mix_name", "at").orderBy("chunk")
+    summed = each.withColumn("before", F.sum("n").over(run.rowsBetween(W.unboundedPreceding, 0)) - F.col("n")).withColumn("total", F.sum("n").over(W.partitionBy("mix_name", "at")))
+    sums = summed.groupBy("mix_name", "chunk").agg(F.array_sort(F.collect_list(F.struct("at", "before", "total"))).alias("sums"))
+
+    def run_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                names = np.array([x["source_name"] for x in r.sources], dtype=object)
+                slots, blocks = (np.array([x[k] for x in r.sources], dtype=np.int64) for k in ("slots", "blocks"))
+                before, total = (np.array([x[k] for x in r.sums], dtype=np.int64) for k in ("before", "total"))
+                shards, sizes, counts = draw(r.mix_name, r.chunk, r.mix_slots, slots)
+                keys = np.array([zlib.crc32(f"{r.mix_name}\x1f{n}".encode()) % 1_000_003 for n in names], dtype=np.int64)
+                mix_key = zlib.crc32(r.mix_name.encode()) % 1_000_003
+                for shard, size, here in zip(shards, sizes, counts):
+                    source = np.repeat(np.arange(len(names)), here)
+                    within = np.arange(size) - np.repeat(np.cumsum(here) - here, here)
+                    source, number = corrected(before[source] + within, source, total, slots, mix_key)
+                    before = before + here
+                    turn = number // blocks[source]
+                    block = permute(number % blocks[source], blocks[source], keys[source] + turn * 7919)
+                    position = shard * SHARD_SLOTS + permute(np.arange(size), np.full(size, size), np.full(size, mix_key + shard))
+                    yield pd.DataFrame({"mix_name": r.mix_name, "source": names[source], "shard": shard, "position": position, "block": block, "turn": turn + 1})
+
+    return chunks.join(sums, ["mix_name", "chunk"]).repartition(parts, "mix_name", "chunk").mapInPandas(run_chunks, "mix_name string, source string, shard long, position long, block long, turn long")
 
 
 def mixes(docs: DataFrame, targets: DataFrame, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
@@ -145,7 +205,8 @@ def mixes(docs: DataFrame, targets: DataFrame, block_tokens: int = BLOCK_TOKENS)
     docs = docs.join(targets.select(F.col("source_name").alias("source")).distinct(), "source", "left_semi")
     sources = docs.filter("source is not null").groupBy("source").agg(F.sum("n_tokens").alias("source_tokens"))
     plan = cut(slot_plan(targets, sources, total, block_tokens))
-    pieces = drawn(plan).join(packed(docs, block_tokens), ["source", "block"]).select("mix_name", "shard", "position", "source", "block", "turn", "doc_id", "start", "tokens")
+    # both sides grow with the corpus, so neither is ever broadcast
+    pieces = drawn(plan).hint("merge").join(packed(docs, block_tokens), ["source", "block"]).select("mix_name", "shard", "position", "source", "block", "turn", "doc_id", "start", "tokens")
     reached = pieces.groupBy("mix_name", F.col("source").alias("source_name")).agg(F.sum("tokens").alias("tokens"), F.countDistinct("doc_id").alias("documents"), F.max("turn").alias("repeats"))
     mix = W.partitionBy("mix_name")
     shares = (

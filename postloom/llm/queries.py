@@ -81,6 +81,20 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixes(spark, sf_dir)[1]
 
 
+def p8_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share that each source is to hold of each mix."""
+    none = spark.createDataFrame([], "source string, source_tokens bigint")
+    plan = mix.slot_plan(read_table(spark, sf_dir, "mix_targets"), none, 0)
+    return plan.select("mix_name", "source_name", F.round("target_share", 9).alias("target_share"), "max_repeats")
+
+
+P8_TARGETS_SQL = """
+WITH w AS (SELECT mix_name, source_name, greatest(coalesce(target_weight, 0), 0) AS w, CAST(greatest(coalesce(max_repeats, 0), 0) AS INTEGER) AS max_repeats FROM mix_targets),
+t AS (SELECT mix_name, sum(w) AS all_w FROM w GROUP BY mix_name)
+SELECT mix_name, source_name, round(CASE WHEN all_w > 0 THEN w / all_w ELSE 0 END, 9) AS target_share, max_repeats FROM w JOIN t USING (mix_name)
+"""
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose text was, wholly or in part, read in a wrong encoding."""
     return mojibake.restored(read_table(spark, sf_dir, "documents")).filter("damaged").select("doc_id")
@@ -100,7 +114,8 @@ QUERIES = {
     "p7_ids": p7_ids,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
+    "p8_targets": p8_targets,
     "p9_found": p9_found,
     "p9_restored": p9_restored,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"p8_targets": P8_TARGETS_SQL}

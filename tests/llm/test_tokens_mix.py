@@ -1,9 +1,12 @@
+from pathlib import Path
+
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from postloom.llm import encode, mix
+from postloom.llm import encode, mix, queries
 
 try:
     encode.encoding()
@@ -91,3 +94,47 @@ def test_empty_mix(spark):
     assert pieces.count() == 0 and shares.count() == 7
     pieces, shares = mix.mixes(df, targets.limit(0))
     assert pieces.count() == 0 and shares.count() == 0
+
+
+@given(st.lists(st.integers(1, 400), min_size=1, max_size=6), st.integers(0, 10**6), st.integers(0, 50))
+def test_corrected_draws_meet_every_number_exactly(slots, seed, key):
+    slots = np.array(slots)
+    size = int(slots.sum())
+    counts = mix.shard_counts("m", seed, size, slots / size)
+    assert counts.sum() == size and (counts == mix.shard_counts("m", seed, size, slots / size)).all()
+    source = np.repeat(np.arange(len(slots)), counts)
+    number = np.concatenate([np.arange(n) for n in counts])
+    to, within = mix.corrected(number, source, counts, slots, key)
+    assert sorted(zip(to.tolist(), within.tolist())) == [(s, k) for s, n in enumerate(slots) for k in range(n)]
+    # only what was drawn too often changes hands
+    assert (to != source).sum() == np.maximum(counts - slots, 0).sum()
+
+
+def test_shard_counts_are_multinomial():
+    shares = np.array([0.7, 0.2, 0.1])
+    counts = np.array([mix.shard_counts("m", k, 1000, shares) for k in range(400)])
+    assert abs(counts.mean(axis=0) / 1000 - shares).max() < 0.01
+    assert (abs(counts.var(axis=0) / (1000 * shares * (1 - shares)) - 1) < 0.3).all()
+
+
+def test_slots_over_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(mix, "SHARD_SLOTS", 16)
+    monkeypatch.setattr(mix, "SHARD_CHUNK", 3)
+    plan = spark.createDataFrame([("m", "a", 500, 200), ("m", "b", 77, 80), ("m", "c", 0, 9), ("n", "a", 5, 2)], "mix_name string, source_name string, slots long, blocks long")
+    rows = mix.drawn(plan).toPandas()
+    assert sorted(rows[rows.mix_name == "m"].position) == list(range(577)) and (rows.shard == rows.position // 16).all()
+    assert rows.groupby(["mix_name", "source"]).size().to_dict() == {("m", "a"): 500, ("m", "b"): 77, ("n", "a"): 5}
+    assert not rows.duplicated(["mix_name", "source", "block", "turn"]).any() and rows[rows.source == "b"].turn.max() == 1
+
+
+def test_targets_against_sql(spark):
+    data = Path("/root/testdata/sf0.001")
+    if not data.exists():
+        pytest.skip("no tables here")
+    con = duckdb.connect()
+    for f in data.glob("*.parquet"):
+        con.execute(f"create view {f.stem} as select * from read_parquet('{f}')")
+    for name, sql in queries.SQL.items():
+        df = queries.QUERIES[name](spark, str(data))
+        want = con.execute(sql).df()[df.columns]
+        assert sorted(map(tuple, df.toPandas().itertuples(index=False))) == sorted(map(tuple, want.itertuples(index=False)))
