@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 
 from postloom.llm.titles import fold, parse_title, role_spellings
 from postloom.operators.lists import trimmed
-from postloom.session import cut
+from postloom.session import cut, ship
 
 #: Entries of the reference list that travel as one broadcast tree.
 BROADCAST_ENTRIES = 20_000
+#: Values that one task searches in one shard.
+VALUES_PER_TASK = 20_000
 UNMATCHED = -1
 
 
@@ -199,6 +201,8 @@ def map_values(values: DataFrame, entries: DataFrame, shards: int | None = None)
     more than ``BROADCAST_ENTRIES``) the entries are split by hash; every value
     meets every shard and the winners merge.
     """
+    ship(values.sparkSession)
+    parts = max(1, values.sparkSession.sparkContext.defaultParallelism)
     distinct = values.select("kind", "value").filter("kind is not null and value is not null").distinct()
     entries = cut(entries)
     count = entries.count()
@@ -212,10 +216,12 @@ def map_values(values: DataFrame, entries: DataFrame, shards: int | None = None)
             for pdf in batches:
                 yield _searched(pdf, trees)
 
-        return distinct.mapInPandas(search, "kind string, value string, distance int, term_id long, shard_rank int").drop("shard_rank")
+        # a number of partitions that is asked for is not merged into one however small the values are
+        return distinct.repartition(parts, "value").mapInPandas(search, "kind string, value string, distance int, term_id long, shard_rank int").drop("shard_rank")
 
     sharded = entries.withColumn("shard", F.pmod(F.xxhash64("form"), F.lit(shards)).cast("int"))
-    salts = 8
+    distinct = cut(distinct)
+    salts = max(1, -(-distinct.count() // VALUES_PER_TASK))
     queries = distinct.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(salts)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     replicas = sharded.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
