@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postloom.session import ship, ship_active
+
 UNSEEN = frozenset("script style noscript svg canvas iframe".split())
 # Tags that a description may keep.
 KEPT_TAGS = frozenset("b strong i em u s strike br p div span ul ol li a h1 h2 h3 h4 h5 h6 blockquote code pre hr".split())
@@ -306,14 +308,17 @@ def seed_paths(base: str) -> list[str]:
 
 
 def text_column(html: Column) -> Column:
+    ship_active()
     return F.pandas_udf(lambda s: pd.Series([None if x is None else visible_text(x) for x in s]), "string")(html)
 
 
 def sanitised_column(html: Column) -> Column:
+    ship_active()
     return F.pandas_udf(lambda s: pd.Series([None if x is None else sanitise(x) for x in s]), "string")(html)
 
 
 def posting_column(html: Column) -> Column:
+    ship_active()
     return F.pandas_udf(lambda s: pd.Series([job_posting(parse_page(x)) for x in s]), "string")(html)
 
 
@@ -325,8 +330,10 @@ def pages_to_jobs(pages: DataFrame) -> DataFrame:
             rows = [(u, j["title"], j["url"], j["location"]) for u, h in zip(pdf["url"], pdf["html"]) if u for j in page_jobs(h, u)]
             yield pd.DataFrame(rows, columns=["page_url", "title", "url", "location"])
 
+    ship(pages.sparkSession)
     return pages.select("url", "html").mapInPandas(run, "page_url string, title string, url string, location string")
 
 
 def organisation_hosts_column(html: Column) -> Column:
+    ship_active()
     return F.pandas_udf(lambda s: pd.Series([organisation_hosts(parse_page(x)) for x in s]), "array<string>")(html)

@@ -177,7 +177,7 @@ def company_from_url(col: Column) -> Column:
     on_system = F.array_join(F.slice(labels, F.greatest(n - 1, F.lit(1)), 2), ".").isin(*SYSTEM_HOSTS) | F.array_join(F.slice(labels, F.greatest(n - 2, F.lit(1)), 3), ".").isin(*SYSTEM_HOSTS)
 
     def capital(c: Column) -> Column:
-        return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 10_000))
+        return F.concat(F.upper(F.substring(c, 1, 1)), F.substr(c, F.lit(2)))
 
     sub = F.when((n > 2) & ~labels[0].isin(*GENERIC_LABELS), labels[0])
     first = F.get(segments(col), F.lit(0))

@@ -225,5 +225,22 @@ def tier_patterns(spec: str) -> list[str]:
 
 
 def java(pattern: str) -> str:
-    """A pattern with ``\\b`` for Java, whose own counts accented letters as parts of words."""
-    return pattern.replace(r"\b", f"(?:{OPEN}(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_]){CLOSE})")
+    """A pattern with ``\\b`` for Java, whose own counts accented letters as parts of words.
+
+    Beside a plain letter or digit an edge is one look-around; elsewhere it is either.
+    """
+    out, at = [], 0
+    for edge in re.finditer(r"\\b", pattern):
+        before, after = pattern[at : edge.start()], pattern[edge.end() : edge.end() + 1]
+        opens = re.fullmatch(r"[A-Za-z0-9_]", after) is not None
+        closes = re.search(r"(?:^|[^\\])[A-Za-z0-9_]$", pattern[: edge.start()]) is not None
+        out += [before, OPEN if opens and not closes else CLOSE if closes and not opens else f"(?:{OPEN}(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_]){CLOSE})"]
+        at = edge.end()
+    return "".join(out) + pattern[at:]
+
+
+def java_any(patterns: list[str]) -> str:
+    """One Java pattern for any of the patterns; those that open a word share that test."""
+    opening = [java(p)[len(OPEN) :] for p in patterns if java(p).startswith(OPEN)]
+    others = [java(p) for p in patterns if not java(p).startswith(OPEN)]
+    return "|".join(([f"{OPEN}(?:{'|'.join(opening)})"] if opening else []) + [f"(?:{p})" for p in others])

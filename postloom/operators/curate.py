@@ -46,9 +46,9 @@ def unseen(found: DataFrame, *known: DataFrame, key: str) -> DataFrame:
 def tag_weights(tags: DataFrame, user: str, tag: str, floor: int) -> DataFrame:
     """(tag, users, weight): distinct users of each tag used by at least ``floor``, log-smoothed to at most 10."""
     pairs = tags.filter(F.col(user).isNotNull() & F.col(tag).isNotNull()).select(user, tag).distinct()
-    counted = pairs.groupBy(tag).agg(F.count("*").alias("users")).filter(F.col("users") >= floor).withColumn("__one", F.lit(1))
-    total = pairs.agg(F.countDistinct(user).alias("all_users")).withColumn("__one", F.lit(1))
-    return counted.join(total, "__one").select(F.col(tag).alias("tag"), "users", F.round(F.log1p("users") / F.log1p("all_users") * 10, 2).alias("weight"))
+    counted = pairs.groupBy(tag).agg(F.count("*").alias("users")).filter(F.col("users") >= floor)
+    total = pairs.agg(F.countDistinct(user)).scalar()
+    return counted.select(F.col(tag).alias("tag"), "users", F.round(F.log1p("users") / F.log1p(total) * 10, 2).alias("weight"))
 
 
 def append_new(master: DataFrame, new: DataFrame, key: str, ordinal: str) -> DataFrame:
@@ -58,9 +58,9 @@ def append_new(master: DataFrame, new: DataFrame, key: str, ordinal: str) -> Dat
     new keys go to the first.
     """
     base = master.groupBy(key).agg(F.min(ordinal).alias(ordinal))
-    last = base.agg(F.coalesce(F.max(ordinal), F.lit(0)).alias("__last")).withColumn("__one", F.lit(1))
-    added = new.groupBy(key).agg(F.min(ordinal).alias(ordinal)).join(base.select(key), key, "left_anti").withColumn("__one", F.lit(1)).join(last, "__one")
-    return base.select(key, ordinal).unionByName(added.select(key, (F.col(ordinal) + F.col("__last") + 1).alias(ordinal)))
+    last = base.agg(F.coalesce(F.max(ordinal), F.lit(0))).scalar()
+    added = new.groupBy(key).agg(F.min(ordinal).alias(ordinal)).join(base.select(key), key, "left_anti")
+    return base.select(key, ordinal).unionByName(added.select(key, (F.col(ordinal) + last + 1).alias(ordinal)))
 
 
 def discovered(pages: DataFrame, known: DataFrame, listed: DataFrame) -> DataFrame:

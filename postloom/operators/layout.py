@@ -37,14 +37,16 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def spread_key(df: DataFrame, group: Column, order: Sequence[str], slices: int = 64) -> DataFrame:
+def spread_key(df: DataFrame, group: Column, order: Sequence[str], slices: int | None = None) -> DataFrame:
     """Rows with a sort key in [0, 1) that spreads each group evenly.
 
     The i-th of a group's n rows gets (i + 1/2) / n, so large groups are spaced
     over the whole order.  Rows without a group come last, with key null.
     Within a hot group, rows are numbered by slices of the order, so no task
-    holds a whole group.
+    holds a whole group; there are as many slices as shuffle partitions, 64 at
+    least, unless ``slices`` says otherwise.
     """
+    slices = slices or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     named = df.withColumn("__g", F.nullif(F.lower(F.trim(group)), F.lit("")))
     ranged = cut(named.repartitionByRange(slices, *order).withColumn("__s", F.spark_partition_id()))
     counts = ranged.groupBy("__g", "__s").agg(F.count("*").alias("__n"))

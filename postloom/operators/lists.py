@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.session import cut, small_enough
+from postloom.session import cut, ship, small_enough
 
 #: Stands for a slash with white space on both sides; such a slash separates.
 SLASH = "\x01"
@@ -116,6 +116,7 @@ def _rules(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def skeleton_rules(shapes: DataFrame) -> DataFrame:
     """(skeleton, rule) for the distinct skeletons of ``shapes``."""
+    ship(shapes.sparkSession)
     return shapes.select("skeleton").distinct().mapInPandas(_rules, f"skeleton string, rule {RULE_TYPE}")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from postloom.functions import urls
 from postloom.functions.text import trim
+from postloom.session import ship
 
 # One of these endings of a name is cut off, once.
 NAME_TAIL = r"\s*(?:inc\.?|llc|ltd\.?|limited|corp\.?|corporation|gmbh|pvt\.?|private|software|services|athletics|retail|uk|spa)\s*$"
@@ -58,5 +59,6 @@ def resolve(wanted: DataFrame, cache: DataFrame, resolver: Callable[[list[str]],
                 rows.append((key, *hit, "resolved") if hit else (key, None, None, "unresolved"))
             yield pd.DataFrame(rows, columns=["company_key", "domain_host", "logo_url", "logo_source"])
 
+    ship(wanted.sparkSession)
     new = wanted.join(cache.select("company_key"), "company_key", "left_anti").mapInPandas(run, "company_key string, domain_host string, logo_url string, logo_source string")
     return cache.select("company_key", "domain_host", "logo_url", "logo_source").unionByName(new)

@@ -42,8 +42,8 @@ def field_audit(left: DataFrame, right: DataFrame, key: str, fields: Sequence[st
 def drift(before: DataFrame, after: DataFrame, measures: dict[str, Column], least: float = 0.5) -> DataFrame:
     """One row: each measure before and after, and whether none fell below ``least`` of itself."""
     a = before.agg(*[m.alias(f"{n}_before") for n, m in measures.items()])
-    b = after.agg(*[m.alias(f"{n}_after") for n, m in measures.items()])
+    b = after.agg(F.struct(*[m.alias(n) for n, m in measures.items()])).scalar()
     ok = F.lit(True)
     for n in measures:
         ok = ok & (F.col(f"{n}_after") >= F.col(f"{n}_before") * least)
-    return a.withColumn("__one", F.lit(1)).join(b.withColumn("__one", F.lit(1)), "__one").drop("__one").withColumn("accepted", ok)
+    return a.withColumn("__after", b).select("*", *[F.col(f"__after.{n}").alias(f"{n}_after") for n in measures]).drop("__after").withColumn("accepted", ok)

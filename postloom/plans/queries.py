@@ -623,12 +623,11 @@ def missing_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.missing_counts(read_table(spark, sf_dir, "upload_rows"), _FIELDS)
 
 
-@query(f"SELECT row_id, list_filter([{', '.join(f'CASE WHEN {_empty(f)} THEN {q.text(f)} END' for f in _FIELDS[:3] + ['hiring_team'])}], lambda x: x IS NOT NULL) AS missing FROM upload_rows WHERE {' OR '.join(_empty(f) for f in _FIELDS[:3])}")
+@query(f"SELECT row_id, list_filter([{', '.join(f'CASE WHEN {_empty(f)} THEN {q.text(f)} END' for f in _FIELDS[:3] + ['hiring_team'])}], lambda x: x IS NOT NULL) AS missing FROM upload_rows WHERE {' OR '.join(_empty(f) for f in _FIELDS[:3] + ['hiring_team'])}")
 def required_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows without title, description or job type, and what they lack."""
-    rows = read_table(spark, sf_dir, "upload_rows")
+    """Rows without title, description, job type or hiring team, and what they lack."""
     missing = quality.missing_required([*_FIELDS[:3], "hiring_team"])
-    return rows.select("row_id", missing.alias("missing")).filter(F.arrays_overlap("missing", F.array(*[F.lit(f) for f in _FIELDS[:3]])))
+    return read_table(spark, sf_dir, "upload_rows").select("row_id", missing.alias("missing")).filter(F.size("missing") > 0)
 
 
 @query(f"""
@@ -759,19 +758,19 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SITE = "coalesce(job_link, company_website)"
+_BASE = q.base_domain(f"regexp_replace({q.host('company_website')}, '^www\\.', '')")
 
 
 @query(f"""
 SELECT row_id, lower({q.host(_SITE)}) AS host, {q.matches(q.host(_SITE), '(?:' + vocab.KNOWN_HOSTS + '|phenompeople' + chr(92) + '.com)$')} OR coalesce({q.host(_SITE)} = {q.host('company_website')}, false)
-  OR (coalesce({q.host(_SITE)} LIKE '%.' || regexp_replace({q.host('company_website')}, '^www\\.', '') , false) AND {q.matches(q.host(_SITE), '^(?:jobs|careers)' + chr(92) + '.')}) AS allowed
-FROM upload_rows WHERE company_website IS NOT NULL AND len(string_split(regexp_replace({q.host('company_website')}, '^www\\.', ''), '.')) <= 2
+  OR (coalesce({q.host(_SITE)} = {_BASE} OR {q.host(_SITE)} LIKE '%.' || {_BASE}, false) AND {q.matches(q.host(_SITE), '^(?:jobs|careers)' + chr(92) + '.')}) AS allowed
+FROM upload_rows WHERE company_website IS NOT NULL
 """)
 def crawl_allowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a crawl that starts at the company's site may follow the posting's link."""
     rows = read_table(spark, sf_dir, "upload_rows").filter("company_website is not null")
     site = F.coalesce("job_link", "company_website")
-    short = rows.filter(F.size(F.split(F.regexp_replace(urls.host(F.col("company_website")), r"^www\.", ""), r"\.")) <= 2)
-    return short.select("row_id", urls.host(site).alias("host"), boards.crawl_allowed(site, F.col("company_website")).alias("allowed"))
+    return rows.select("row_id", urls.host(site).alias("host"), boards.crawl_allowed(site, F.col("company_website")).alias("allowed"))
 
 
 @query()

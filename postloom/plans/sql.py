@@ -87,6 +87,16 @@ def names(values: list[str]) -> str:
     return ", ".join(text(v) for v in values)
 
 
+def base_domain(host_sql: str) -> str:
+    """Last two labels of a host, three under a country code with a general second level."""
+    a = f"string_split({host_sql}, '.')"
+    general = "('co', 'com', 'org', 'net', 'gov', 'ac', 'edu')"
+    return (
+        f"(CASE WHEN len({a}) <= 2 THEN {host_sql} WHEN regexp_matches({a}[len({a})], '^[a-z]{{2}}$') AND {a}[len({a}) - 1] IN {general} "
+        f"THEN array_to_string({a}[len({a}) - 2:len({a})], '.') ELSE array_to_string({a}[len({a}) - 1:len({a})], '.') END)"
+    )
+
+
 def priority(x: str) -> str:
     systems = r"myworkdayjobs\.com|greenhouse\.io|lever\.co|smartrecruiters\.com|icims\.com|ashbyhq\.com|job-boards\."
     return f"(CASE WHEN {matches(f'lower({x})', systems)} THEN 0 WHEN {matches(f'lower({x})', 'careers?' + chr(92) + '.')} THEN 2 ELSE 1 END)"

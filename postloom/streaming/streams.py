@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from postloom.session import ensure_checkpoint_dir
+from postloom.session import checkpoint_dir
 
 
 def first_seen(stream: DataFrame, keys: list[str], event_time: str, remember: str = "30 days") -> DataFrame:
@@ -36,9 +36,20 @@ def merge_batches(stream: DataFrame, merge: Callable[[DataFrame, int], None], ch
 
 
 def drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """All that a finite stream gives, as a table in memory (for tests and small inputs)."""
+    """All that a finite stream gives, as a table written to the shared checkpoint folder under ``name``.
+
+    Appended rows are added batch by batch, of a complete result each batch
+    replaces the last; nothing passes through the driver.
+    """
     spark: SparkSession = stream.sparkSession
-    ensure_checkpoint_dir(spark)
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    folder = f"{checkpoint_dir(spark)}/stream-{name}"
+    out = f"{folder}/rows"
+    spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(out)
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
+    query = writer.foreachBatch(write).start() if mode == "complete" else writer.format("parquet").option("path", out).start()
     query.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(stream.schema).parquet(out)

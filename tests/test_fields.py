@@ -114,5 +114,37 @@ def test_skills():
     assert skills.canonical("Adobe Photoshop") == "photoshop"
     assert skills.canonical("design") == "indesign"
     assert skills.canonical("the") == ""
-    assert skills.skills_of("Motion Designer", "Experience with Figma, Blender or puppetry; more.")[:2] == ["figma", "blender"]
-    assert skills.skills_of(None, None) == []
+    assert skills.listed_skills("Motion Designer", "Experience with Figma, Blender or puppetry; more.")[:3] == ["figma", "blender", "puppetry"]
+    assert skills.listed_skills(None, None) == []
+    # the index finds what a look at every entry finds
+    for value in ("design", "adobe photoshop", "ui", "blend", "x", "motion design", "c", "after effects and more"):
+        want = next((n for n, words in vocab.SKILL_TAXONOMY.items() if any(w in value or value in w for w in words)), None)
+        assert skills.TAXONOMY.first(value) == want
+
+
+def test_skills_column(one):
+    got = one(skills.skills_column(F.col("t"), F.col("d")), t="Motion Designer", d="Experience with Figma, Blender or puppetry; more. the way of the world is_a_b_c_d")
+    assert got[:2] == ["figma", "blender"] and "puppetry" in got and len(got) == len(set(got))
+    assert one(skills.skills_column(F.col("t"), F.col("d")), t=None, d=None) == []
+
+
+def test_edges_of_words(spark):
+    # each edge becomes the look-around that its neighbour needs; the result is that of the general form
+    general = f"(?:{vocab.OPEN}(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_]){vocab.CLOSE})"
+    texts = ["ui designer", "uixdesigner", "séo", "art  director", "3d artist", "ux/ui", "", "hr", "ahr", "hré", "ux", "motion graphics lead"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for spec in vocab.TIERS.values():
+        patterns = vocab.tier_patterns(spec)
+        slow = "|".join(f"(?:{p})" for p in (x.replace(r"\b", general) for x in patterns))
+        assert df.filter(F.col("t").rlike(slow) != F.col("t").rlike(vocab.java_any(patterns))).count() == 0
+
+
+def test_large_dictionaries_are_joined(spark, monkeypatch):
+    table = spark.createDataFrame([("UX", 9.5), ("ux lead", 4.0), ("c++", 8.0), ("art", 2.5), ("bad", None), (None, 3.0)], "keyword string, weight double")
+    df = spark.createDataFrame([(1, "UX lead"), (2, "c++ dev"), (3, "smart"), (4, None), (5, "art, ux")], "id int, title string")
+    for even in (False, True):
+        want = {r.id: r.score for r in scoring.with_dictionary_score(df, F.col("title"), table, "id", even).collect()}
+        monkeypatch.setattr(scoring, "PATTERN_KEYWORDS", 2)
+        got = {r.id: r.score for r in scoring.with_dictionary_score(df, F.col("title"), table, "id", even).collect()}
+        monkeypatch.undo()
+        assert got == want
