@@ -181,6 +181,7 @@ def reference_entries(terms: DataFrame, aliases: dict[str, dict[str, list[str]]]
     """
     rows = [(kind, name, other) for kind, names in aliases.items() for name, others in names.items() for other in others]
     spark = terms.sparkSession
+    ship(spark)
     base = terms.select(F.col("term_kind").alias("kind"), F.col("canonical_name").alias("name"), "term_id").filter("kind is not null and name is not null")
     other = base.join(F.broadcast(spark.createDataFrame(rows, "kind string, name string, other string")), ["kind", "name"]).select("kind", F.col("other").alias("name"), "term_id")
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postloom.session import spread_out
+from postloom.session import ship_active, spread_out
 
 #: Folder of the public vocabularies; the environment may name another.
 TOKENIZER_DIR = os.environ.get("POSTLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -81,6 +81,7 @@ def token_ids(text: Column, path: str = DEFAULT_RANKS) -> Column:
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([encode_text(t, path) for t in texts])
 
+    ship_active()
     return F.pandas_udf(run, "array<bigint>")(text)
 
 
@@ -90,6 +91,7 @@ def token_count(text: Column, path: str = DEFAULT_RANKS) -> Column:
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([len(encode_text(t, path)) for t in texts], dtype="int64")
 
+    ship_active()
     return F.pandas_udf(run, "bigint")(text)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from postloom.session import cut, small_enough
+from postloom.session import cut, ship, small_enough
 
 BLOCK_TOKENS = 128
 SHARD_SLOTS = 1024
@@ -149,6 +149,7 @@ def drawn(plan: DataFrame) -> DataFrame:
     sources = plan.filter("slots > 0").groupBy("mix_name").agg(F.array_sort(F.collect_list(F.struct("source_name", "slots", "blocks"))).alias("sources"), F.sum("slots").alias("mix_slots"))
     last = F.floor((F.col("mix_slots") - 1) / (SHARD_SLOTS * SHARD_CHUNK))
     chunks = sources.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    ship(chunks.sparkSession)
     parts = max(1, chunks.sparkSession.sparkContext.defaultParallelism)
 
     def draw(mix_name: str, chunk: int, mix_slots: int, slots: np.ndarray) -> tuple[range, list[int], np.ndarray]:

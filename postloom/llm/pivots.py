@@ -39,7 +39,7 @@ from postloom.llm.canonical import acceptable, radius_of
 from postloom.llm.components import connected_components
 from postloom.llm.names import NameIndex, extend_names, resolved
 from postloom.operators.layout import with_position
-from postloom.session import cut, ship, small_enough
+from postloom.session import cut, ship, ship_active, small_enough
 
 #: The pivots: fixed texts of different length and letters.
 PIVOTS = ("", "data engineer", "warehouse night clerk", "pqxz liability technician")
@@ -99,6 +99,7 @@ def _links(links: pd.Series) -> pd.DataFrame:
 
 def link_parts(link: Column) -> Column:
     """Struct of host, tenant and code; all null where there is no link."""
+    ship_active()
     return F.pandas_udf(_links, "struct<host:string,tenant:string,code:string>")(link)
 
 
@@ -140,6 +141,8 @@ def near_pairs(new: DataFrame, table: DataFrame, radius: int = RADIUS) -> DataFr
     met = pivot_candidates(new, table, radius)
     met = met.filter(F.levenshtein("ta", "tb", radius) >= 0).filter("terma <=> termb").select("a", "b", "ta", "tb")
 
+    ship(new.sparkSession)
+
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             keep = [radius_of(p) > 0 and acceptable(p, q, radius) and acceptable(q, p, radius) for p, q in zip(pdf["ta"], pdf["tb"])]

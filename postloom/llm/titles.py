@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postloom.session import ship_active
+
 # Words that state a level, and the level they state.
 LEVELS = {
     "senior": "senior", "sr": "senior", "snr": "senior",
@@ -114,4 +116,5 @@ def _parts(titles: pd.Series, cities: pd.Series) -> pd.DataFrame:
 
 def title_parts(title: Column, city: Column) -> Column:
     """Level, field, team and role of a title column; the role's pieces are joined by commas."""
+    ship_active()
     return F.pandas_udf(_parts, PARTS_TYPE)(title, city)
