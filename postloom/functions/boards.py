@@ -80,7 +80,24 @@ def try_urls(url: Column) -> Column:
     """Distinct addresses under which a posting's page may be found, in the order of trying."""
     clean = urls.canonical(url)
     bare = F.regexp_replace(clean, r"(?i)/(?:apply|application)/?$", "")
-    return F.array_distinct(F.filter(F.array(trim(url), clean, bare, F.regexp_replace(bare, r"\?.*$", "")), lambda u: u.isNotNull() & (u != "")))
+    old_board = F.when(urls.host(clean).endswith("job-boards.greenhouse.io"), F.regexp_replace(clean, "(?i)job-boards\\.greenhouse\\.io", "boards.greenhouse.io"))
+    new_board = F.when(urls.host(clean).rlike(r"(?:^|\.)boards\.greenhouse\.io$"), F.regexp_replace(clean, "(?i)//boards\\.greenhouse\\.io", "//job-boards.greenhouse.io"))
+    # a board's own tracking parameters
+    plain = F.regexp_replace(F.regexp_replace(clean, r"(?i)(?<=[?&])lever-(?:source|via)=[^&]*&?", ""), "[?&]$", "")
+    lever = F.when(urls.host(clean).endswith("jobs.lever.co"), plain)
+    tries = F.array(trim(url), clean, bare, F.regexp_replace(bare, r"\?.*$", ""), old_board, new_board, lever)
+    return F.array_distinct(F.filter(tries, lambda u: u.isNotNull() & (u != "")))
+
+
+def first_page(tries: DataFrame, pages: DataFrame, least: int = 200) -> DataFrame:
+    """(row_id, url, html): of the addresses of each row (row_id, tries) the first whose stored page has ``least`` characters.
+
+    An address meets its page by an equi-join; the winner is a minimum over the
+    order of trying, so no task holds a row's pages together.
+    """
+    each = tries.select("row_id", F.posexplode("tries").alias("nth", "url"))
+    held = pages.filter(F.length("html") >= least).select("url", "html")
+    return each.join(held, "url").groupBy("row_id").agg(F.min_by(F.struct("url", "html"), "nth").alias("p")).select("row_id", "p.url", "p.html")
 
 
 def crawl(pages: DataFrame, seeds: DataFrame, rounds: int = 8) -> DataFrame:

@@ -198,3 +198,27 @@ def location(raw: Column) -> Column:
         return F.when(says & text.rlike(words(["remote"])), remote(text)).when(says, let(F.coalesce(first, text), placed))
 
     return let(collapse(raw), read)
+
+
+def upload_job_type(raw: Column) -> Column:
+    """A typed job type as the upload takes it: open calls are one of their own."""
+    return F.when(F.regexp_replace(F.upper(trim(raw)), "[-_ ]", "") == "OPENCALL", "OPEN_CALL").otherwise(job_type_value(raw))
+
+
+def apply_method(link: Column, work_email: Column, by_email: Column) -> Column:
+    """Struct of link, whether applications go by mail, and their address: mail rows lose their link, others their address."""
+    mail = F.coalesce((F.lower(trim(by_email)).isin("true", "yes", "1")) & (trim(work_email) != ""), F.lit(False))
+    return F.struct(
+        F.when(mail, "").otherwise(F.coalesce(trim(link), F.lit(""))).alias("link"), mail.alias("by_email"), F.when(mail, trim(work_email)).otherwise("").alias("email")
+    )
+
+
+def positive_number(raw: Column, fallback: float) -> Column:
+    """A typed number above 0, else ``fallback``."""
+    value = trim(raw).try_cast("double")
+    return F.when((value > 0) & (value < float("inf")), value).otherwise(F.lit(float(fallback)))
+
+
+def content_hash(content: Column) -> Column:
+    """Digest by which equal contents are recognised; null stays null."""
+    return F.sha2(content, 256)

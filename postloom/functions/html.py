@@ -337,3 +337,181 @@ def pages_to_jobs(pages: DataFrame) -> DataFrame:
 def organisation_hosts_column(html: Column) -> Column:
     ship_active()
     return F.pandas_udf(lambda s: pd.Series([organisation_hosts(parse_page(x)) for x in s]), "array<string>")(html)
+
+
+class Element:
+    """One element of a page's tree."""
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None):
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.parts: list[Element | str] = []
+
+    def walk(self) -> Iterator[Element]:
+        """Elements below, in page order."""
+        stack = [p for p in reversed(self.parts) if isinstance(p, Element)]
+        while stack:
+            element = stack.pop()
+            yield element
+            stack += [p for p in reversed(element.parts) if isinstance(p, Element)]
+
+    def text(self) -> str:
+        out, stack = [], list(reversed(self.parts))
+        while stack:
+            part = stack.pop()
+            if isinstance(part, str):
+                out.append(part)
+            elif part.tag not in UNSEEN:
+                stack += reversed(part.parts)
+        return squash("".join(out))
+
+    def nearest(self, tags: frozenset[str]) -> Element | None:
+        element: Element | None = self
+        while element is not None and element.tag not in tags:
+            element = element.parent
+        return element
+
+
+class _Tree(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.root = self.here = Element("", {}, None)
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        element = Element(tag, {k: v or "" for k, v in attrs}, self.here)
+        self.here.parts.append(element)
+        if tag not in VOID:
+            self.here = element
+
+    def handle_endtag(self, tag: str) -> None:
+        element: Element | None = self.here
+        while element is not None and element.tag != tag:
+            element = element.parent
+        if element is not None and element.parent is not None:
+            self.here = element.parent
+
+    def handle_data(self, data: str) -> None:
+        self.here.parts.append(data)
+
+
+def parse_tree(html: str | None) -> Element:
+    tree = _Tree()
+    tree.feed(html or "")
+    tree.close()
+    return tree.root
+
+
+_STEP = re.compile(r"#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)|\[(?P<attr>[\w:-]+)(?P<op>\*?=)'(?P<value>[^']*)'\]|(?P<tag>[\w-]+)")
+
+
+def matches(element: Element, step: str) -> bool:
+    """Whether an element meets one step of a selector: tag, #id, .class, [attribute='value'] or [attribute*='part']."""
+    for m in _STEP.finditer(step):
+        if m["tag"] and element.tag != m["tag"].lower() or m["id"] and element.attrs.get("id") != m["id"]:
+            return False
+        if m["cls"] and m["cls"] not in element.attrs.get("class", "").split():
+            return False
+        if m["attr"]:
+            held = element.attrs.get(m["attr"])
+            if held is None or (m["value"] not in held if m["op"] == "*=" else held != m["value"]):
+                return False
+    return True
+
+
+def select(root: Element, selector: str) -> list[Element]:
+    """Elements that a selector of steps, each somewhere below the one before, names; in page order."""
+    *above, last = selector.split()
+    out = []
+    for element in root.walk():
+        if not matches(element, last):
+            continue
+        at, steps = element.parent, list(above)
+        while at is not None and steps:
+            if matches(at, steps[-1]):
+                steps.pop()
+            at = at.parent
+        if not steps:
+            out.append(element)
+    return out
+
+
+# Where descriptions, titles and places stand in pages of postings, best known first.
+BLOCK_SELECTORS = (
+    "[data-automation-id='jobPostingDescription']", "[data-automation-id='job-posting-description']", "[data-automation-id='jobDescription']", ".css-kyg8or", "#job-detail-body",
+    "[id*='job-detail-body']", "[id*='job-description']", "[data-qa='job-description']", "[data-testid*='description']", "[data-test*='description']", "[class*='JobDescription']",
+    ".posting-description", ".job-description", ".job-details", ".iCIMS_InfoMsg_Job", "#content .content", "#content", "[class*='description']", ".description", ".section", "article", "main",
+)
+TITLE_SELECTOR = "[data-automation*='job-title']"
+PLACE_SELECTORS = ("[data-automation*='job-location']", "[class*='location']", "[id*='location']")
+PAGE_NOISE = re.compile(r"join us in empowering everyone to create\.?|search results?|careers?|home", re.I)
+ROW_TAGS = frozenset("tr li div".split())
+ROW_LINK = re.compile(r"/jobs/\d+", re.I)
+ROW_PLACE = re.compile(r"\b(remote|[a-z .'-]+,\s*[a-z .'-]+(?:,\s*[a-z .'-]+)?)\b", re.I)
+FIELDS_TYPE = "struct<heading:string,page_title:string,summary:string,block:string,detail_title:string,detail_place:string>"
+
+
+def longest_block(root: Element) -> str:
+    """The longest text that one of ``BLOCK_SELECTORS`` gathers; the earlier one among equals."""
+    return max((squash(" ".join(e.text() for e in select(root, s))) for s in BLOCK_SELECTORS), key=len)
+
+
+def page_fields(html: str | None) -> dict[str, str | None]:
+    """Heading, title, summary, longest block, and the title and place of a posting's own page; null where there is none."""
+    root = parse_tree(html)
+    metas = [e.attrs for e in root.walk() if e.tag == "meta"]
+
+    def first(selector: str) -> str | None:
+        found = select(root, selector)
+        return (found[0].text() or None) if found else None
+
+    def meta(key: str, value: str) -> str | None:
+        return next((squash(a.get("content", "")) or None for a in metas if a.get(key) == value), None)
+
+    heading, page_title = first("h1"), first("title")
+    titles = (heading, first(TITLE_SELECTOR), meta("property", "og:title"), page_title)
+    title = next((t for t in titles if t and 3 <= len(t) <= 180), None)
+    places = (t for s in PLACE_SELECTORS if (t := first(s)) and len(t) <= 120)
+    return {
+        "heading": heading, "page_title": page_title, "summary": meta("property", "og:description") or meta("name", "description"), "block": longest_block(root) or None,
+        "detail_title": None if title and PAGE_NOISE.fullmatch(title) else title, "detail_place": next(places, None),
+    }
+
+
+def fields_column(html: Column) -> Column:
+    """Struct of ``page_fields``, one parse for each page."""
+    ship_active()
+    return F.pandas_udf(lambda s: pd.DataFrame([page_fields(x) for x in s], columns=["heading", "page_title", "summary", "block", "detail_title", "detail_place"]), FIELDS_TYPE)(html)
+
+
+def detail(fields: Column, url: Column, final_url: Column) -> Column:
+    """Struct of title, url and location of a posting's own page: its title, else what the address calls it; null without either."""
+    from postloom.functions import urls
+
+    posting = r"(?i)/job/|/jobs?/[0-9]|/Search/JobDetail/|greenhouse\.io|lever\.co|smartrecruiters\.com|myworkdayjobs\.com"
+    title = F.coalesce(fields["detail_title"], urls.crawler_title(url))
+    known = F.when(F.coalesce(final_url.rlike(posting), F.lit(False)), final_url).otherwise(url)
+    return F.when(title.isNotNull(), F.struct(F.trim(F.regexp_replace(title, r"\s+\|\s+.*$", "")).alias("title"), known.alias("url"), fields["detail_place"].alias("location")))
+
+
+def row_jobs(html: str | None, base: str) -> list[dict]:
+    """Postings of a page that lists one a row: links with a number, the place from the row around each."""
+    out = []
+    for link in select(parse_tree(html), "a"):
+        href, title = squash(link.attrs.get("href", "")), link.text()
+        url = resolve(href, base) if ROW_LINK.search(href) and len(title) >= 3 else None
+        if url:
+            row = link.nearest(ROW_TAGS)
+            place = ROW_PLACE.search(row.text()) if row else None
+            out.append({"title": title, "url": url, "location": place.group(1) if place else None})
+    return out
+
+
+def rows_to_jobs(pages: DataFrame) -> DataFrame:
+    """(page_url, title, url, location) for the rows of stored list pages (url, html)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(u, j["title"], j["url"], j["location"]) for u, h in zip(pdf["url"], pdf["html"]) if u for j in row_jobs(h, u)]
+            yield pd.DataFrame(rows, columns=["page_url", "title", "url", "location"])
+
+    ship(pages.sparkSession)
+    return pages.select("url", "html").mapInPandas(run, "page_url string, title string, url string, location string")

@@ -183,3 +183,46 @@ def is_script_shell(html: Column) -> Column:
     from postloom.functions.text import html_to_text
 
     return _true((F.length(html) > 2000) & (F.length(html_to_text(html)) < 500))
+
+
+# Titles that are dropped whatever the address says (a parameter of the function).
+DROPPED_TITLES = ("job not available",)
+# Openings of titles that name no posting.
+UNREAL_TITLE = r"(?i)^(?:careers|jobs|home|404|error|cookie|login|select|current openings|open roles)"
+# Patterns that a quality check flags for a closer look.
+QC_PATTERNS = {
+    "model_training": r"rlhf|train (?:the|our) (?:ai|model|llm)|data annotat|ai trainer|ai rater|human feedback|label images for|improve our model|outlier|scale ai|remotasks",
+    "unpaid": r"unpaid|volunteer|for exposure|stipend only|no compensation",
+    "not_remote": r"on-site only|onsite only|must be located in|relocation required|hybrid.{0,20}office",
+}
+# Hosts whose pages a script fills, and first labels of hosts that often embed them.
+SCRIPTED_HOSTS = "greenhouse.io lever.co smartrecruiters.com myworkdayjobs.com workdayjobs.com icims.com ashbyhq.com phenompeople.com amazon.jobs workable.com".split()
+SCRIPTED_LABELS = "careers career jobs job apply hire".split()
+
+
+def always_dropped(title: Column, titles: tuple[str, ...] = DROPPED_TITLES) -> Column:
+    return _true(F.lower(trim(title)).isin(*titles))
+
+
+def drop_honoured(reason: Column, title: Column, url: Column, final: tuple[str, ...] = ("GENAI_COMPANY",), titles: tuple[str, ...] = DROPPED_TITLES) -> Column:
+    """Whether a reply's wish to drop a row is followed: always for a final reason, else only if neither title nor address look like a posting."""
+    real_title = _true(F.length(title) > 3) & ~_true(trim(title).rlike(UNREAL_TITLE)) & ~always_dropped(title, titles)
+    return _true(reason.isin(*final)) | (~real_title & ~specific_url(url))
+
+
+def qc_flags(text: Column) -> Column:
+    """Struct of the flags of ``QC_PATTERNS``."""
+    return F.struct(*[_true(text.rlike(f"(?i){p}")).alias(name) for name, p in QC_PATTERNS.items()])
+
+
+def age_verdict(posted: Column, today: Column, most: int = 10) -> Column:
+    """REJECT for postings of more than ``most`` days, REVIEW where the day is unknown, else PASS."""
+    age = F.datediff(today, posted)
+    return F.when(age.isNull(), "REVIEW").when(age > most, "REJECT").otherwise("PASS")
+
+
+def needs_browser(url: Column) -> Column:
+    """Whether a page of the address is usually filled by scripts."""
+    h = urls.host(url)
+    labels = F.split(h, r"\.")
+    return _true(h.rlike("|".join(vocab.escaped(x) for x in SCRIPTED_HOSTS)) | ((F.size(labels) >= 3) & labels[0].isin(*SCRIPTED_LABELS)))

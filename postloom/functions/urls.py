@@ -212,3 +212,35 @@ def avatar(name: Column, template: str = "https://avatars.example/?name=") -> Co
     for enc, char in (("%21", "!"), ("%27", "'"), ("%28", "("), ("%29", ")"), ("%7E", "~")):
         code = F.replace(code, F.lit(enc), F.lit(char))
     return F.concat(F.lit(template), code)
+
+
+def retry_canonical(col: Column) -> Column:
+    """``canonical`` for a second try: what is no address stays exactly as it was."""
+    return F.when(is_url(col), canonical(col)).otherwise(col)
+
+
+def crawler_title(col: Column) -> Column:
+    """What a posting's address calls it: the last segment (before a closing ``apply``) decoded, without feed prefix and requisition, 3 to 180 characters."""
+    parts = segments(col)
+    end = F.get(parts, F.size(parts) - 1)
+    last = F.when((F.lower(end) == "apply") & (F.size(parts) > 1), F.get(parts, F.size(parts) - 2)).otherwise(end)
+    bare = F.regexp_replace(F.regexp_replace(F.try_url_decode(F.replace(last, F.lit("+"), F.lit("%2B"))), "(?i)^xmlname-", ""), "(?i)_r[0-9]+[a-z0-9-]*$", "")
+    said = trim(F.regexp_replace(bare, "[-_]+", " "))
+    return F.when((F.size(parts) > 0) & (F.length(said) >= 3) & (F.length(said) <= 180), said)
+
+
+def _set_param(found: Column, name: str, value: str | int) -> Column:
+    """Parameters with one of them set: at its first place, its repeats gone, or added at the end."""
+    pair = F.lit(f"{name}={value}")
+    own = F.transform(found, lambda p: F.startswith(p, F.lit(f"{name}=")))
+    first = F.array_position(own, F.lit(True))
+    put = F.transform(found, lambda p, i: F.when(i + 1 == first, pair).when(~F.startswith(p, F.lit(f"{name}=")), p))
+    return F.when(first > 0, F.filter(put, lambda p: p.isNotNull())).otherwise(F.concat(found, F.array(pair)))
+
+
+def with_query(col: Column, values: dict[str, str | int]) -> Column:
+    """The address with parameters set: a given one takes the new value at its first place, others are added; null where there is no address."""
+    found = params(col)
+    for name, value in values.items():
+        found = _set_param(found, name, value)
+    return F.when(is_url(col), F.concat(_origin(col), path(col), F.lit("?"), F.array_join(found, "&"), _part(col, 6)))

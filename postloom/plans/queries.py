@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,30 +12,15 @@ from postloom.functions import text as tx
 from postloom.operators import curate, dedup, enrich, layout, logos, quality
 from postloom.operators.lists import explode_packed
 from postloom.plans import sql as q
+from postloom.plans.registry import AS_OF, QUERIES, SQL, query
 from postloom.session import read_table
 from postloom.sources import sinks
 from postloom.streaming import streams
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 FLAGSHIP = "prune_buckets"
-#: Date up to which recency is counted back in the queries over the supplied tables.
-AS_OF = "2025-09-01"
 LEAST_SCORE = 5
 
 
-def query(sql: str | None = None) -> Callable:
-    """Register a query under its name, with its SQL where there is one."""
-
-    def add(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[fn.__name__] = fn
-        if sql:
-            SQL[fn.__name__] = sql
-        return fn
-
-    return add
-
-
 # One regex token per value: a quoted value, or a run without separators in which
 # a slash is ordinary unless white space stands on both sides of it.
 P2_SQL = r"""
@@ -275,19 +259,19 @@ def posting_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH t AS (SELECT raw_id, source_url, title, {_strict_sql('title', 'url')} AS s, {_loose_sql('title', 'url')} AS l FROM raw_jobs),
-g AS (SELECT source_url, bool_or(s) AS any_s, bool_or(l) AS any_l FROM t GROUP BY source_url)
-SELECT raw_id, t.source_url, title FROM t JOIN g USING (source_url) WHERE CASE WHEN any_s THEN s WHEN any_l THEN l ELSE true END
+WITH t AS (SELECT raw_id, source_url, title, coalesce(ats <> 'generic', false) AS a, {_strict_sql('title', 'url')} AS s, {_loose_sql('title', 'url')} AS l FROM raw_jobs),
+g AS (SELECT source_url, bool_or(a) AS any_a, bool_or(s) AS any_s, bool_or(l) AS any_l FROM t GROUP BY source_url)
+SELECT raw_id, t.source_url, title FROM t JOIN g USING (source_url) WHERE CASE WHEN any_a THEN true WHEN any_s THEN s WHEN any_l THEN l ELSE true END
 """)
 def selection_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of each source the strict postings, else the loose ones, else all rows.
+    """Of each source all rows if a board's own reader found some, else the strict postings, else the loose ones, else all rows.
 
     The flags of a source come from one aggregate that is joined back, so a
     hot source is never held in one task.
     """
-    t = read_table(spark, sf_dir, "raw_jobs").select("raw_id", "source_url", "title", predicates.posting_strict(F.col("title"), F.col("url")).alias("s"), predicates.posting_loose(F.col("title"), F.col("url")).alias("l"))
-    g = t.groupBy("source_url").agg(F.bool_or("s").alias("any_s"), F.bool_or("l").alias("any_l"))
-    chosen = F.when(F.col("any_s"), F.col("s")).when(F.col("any_l"), F.col("l")).otherwise(True)
+    t = read_table(spark, sf_dir, "raw_jobs").select("raw_id", "source_url", "title", F.coalesce(F.col("ats") != "generic", F.lit(False)).alias("a"), predicates.posting_strict(F.col("title"), F.col("url")).alias("s"), predicates.posting_loose(F.col("title"), F.col("url")).alias("l"))
+    g = t.groupBy("source_url").agg(F.bool_or("a").alias("any_a"), F.bool_or("s").alias("any_s"), F.bool_or("l").alias("any_l"))
+    chosen = F.when(F.col("any_a"), True).when(F.col("any_s"), F.col("s")).when(F.col("any_l"), F.col("l")).otherwise(True)
     return t.join(g, "source_url").filter(chosen).select("raw_id", "source_url", "title")
 
 
@@ -781,3 +765,6 @@ def pipeline_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = read_table(spark, sf_dir, "raw_jobs").select(F.col("raw_id").alias("row_id"), "title", "url", F.col("location_text").alias("location"), "company", "ats", "source_url", "description", "date_posted").distinct()
     out = pipeline.run(raw)
     return out.select("row_id", "title", "url", "company", "place.city", "place.country", "job_type", "work_type", "score", "keywords", "posted")
+
+
+from postloom.plans import details  # noqa: E402, F401  (registers its queries)

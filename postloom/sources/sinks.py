@@ -1,4 +1,4 @@
-"""Writers: flat CSV, JSON, latest and history snapshots, manifests."""
+"""Writers: flat CSV, JSON records, scored and reviewed files, curated lists, caches, latest and history snapshots, manifests."""
 
 from __future__ import annotations
 
@@ -21,8 +21,10 @@ def flat(df: DataFrame, list_columns: Mapping[str, str] | None = None) -> DataFr
     return df.select(out)
 
 
-def write_csv(df: DataFrame, path: str, list_columns: Mapping[str, str] | None = None) -> None:
-    """CSV that ``readers.read_csv`` reads back to the same strings."""
+def write_csv(df: DataFrame, path: str, list_columns: Mapping[str, str] | None = None, header: Sequence[str] | None = None) -> None:
+    """CSV that ``readers.read_csv`` reads back to the same strings; ``header`` fixes columns and their order, missing ones stay empty."""
+    if header:
+        df = df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit("").alias(c) for c in header])
     flat(df, list_columns).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
@@ -60,3 +62,42 @@ def upsert(base: DataFrame, changes: DataFrame, key: str, keep_from_base: Sequen
     old = base.select(key, *[F.col(c).alias(f"__old_{c}") for c in keep_from_base])
     new = changes.join(old, key, "left").withColumns({c: F.coalesce(f"__old_{c}", c) for c in keep_from_base}).drop(*[f"__old_{c}" for c in keep_from_base])
     return base.join(changes.select(key), key, "left_anti").unionByName(new.select(base.columns))
+
+
+def write_json(df: DataFrame, path: str, single: bool = False) -> None:
+    """Records as JSON lines, null fields left out; ``single`` gathers a small result in one file."""
+    (df.coalesce(1) if single else df).write.mode("overwrite").json(path)
+
+
+def write_records(df: DataFrame, path: str, api_fields: Sequence[str], own_fields: Sequence[str]) -> None:
+    """Two projections of one table: ``api_fields`` nested under apiJob beside ``own_fields``, and the former alone."""
+    api = F.struct(*[F.col(f) for f in api_fields]).alias("apiJob")
+    write_json(df.select(api, *own_fields), f"{path}/enriched")
+    write_json(df.select(*api_fields), f"{path}/api")
+
+
+def write_cache(cache: DataFrame, path: str) -> None:
+    """A cache table, written beside the old one, so that a cache read from ``path`` may be written back to it."""
+    from postloom.session import cut
+
+    cut(cache).write.mode("overwrite").parquet(path)
+
+
+def write_scored(df: DataFrame, score: Column, path: str) -> None:
+    """All columns and ``creative_score`` as CSV, lowest score first."""
+    write_csv(df.withColumn("creative_score", score).orderBy("creative_score"), path)
+
+
+def write_reviewed(df: DataFrame, verdicts: DataFrame, key: str, path: str) -> None:
+    """All columns with Status and Notes of ``verdicts`` (key, status, notes) as CSV; rows without one wait for review."""
+    said = verdicts.select(key, F.col("status").alias("Status"), F.col("notes").alias("Notes"))
+    joined = df.join(said, key, "left").withColumns({"Status": F.coalesce("Status", F.lit("REVIEW")), "Notes": F.coalesce("Notes", F.lit(""))})
+    write_csv(joined.select(*df.columns, "Status", "Notes"), path)
+
+
+def write_lists(lists: Mapping[str, DataFrame], folder: str, apply: bool = False) -> str:
+    """Curated lists under ``folder``: as proposals, or in force with ``apply``; returns where they went."""
+    target = f"{folder}/{'lists' if apply else 'proposed'}"
+    for name, df in lists.items():
+        write_json(df, f"{target}/{name}")
+    return target
