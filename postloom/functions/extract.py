@@ -11,6 +11,7 @@ from postloom.functions.text import collapse, trim
 from postloom.functions.urls import let
 from postloom.functions.vocab import CLOSE, OPEN, words
 
+# How pay ranges and dates are written.
 MONEY = r"([0-9]{2,3}(?:,[0-9]{3})*(?:\.[0-9]+)?[kKmM]?)"
 RANGE = rf"(?i)([$€£])\s?{MONEY}\s*(?:-|to)\s*(?:[$€£])?\s?{MONEY}\s*(?:per|/)?\s*(hour|day|week|month|year|annual)?"
 DATE_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss[.SSS][.SSSSSS]X", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "MMMM d, yyyy", "MMMM d yyyy", "MMM d, yyyy", "MMM d yyyy", "MMMM yyyy", "d MMM yyyy")

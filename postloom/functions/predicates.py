@@ -90,6 +90,7 @@ def _path(url: Column) -> Column:
     return F.when(p == "", "/").otherwise(p)
 
 
+# Paths of listings, for the strict and the loose test.
 LISTING = r"^/(?:jobs|job|careers|career|search|search-results|open-positions|opportunities|teams|departments)$|^/c/[a-z0-9-]+-jobs$"
 LISTING_LOOSE = r"^/(?:jobs|job|careers|career|search|search-results|open-positions|opportunities)$|^/c/[a-z0-9-]+-jobs$"
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,15 +41,19 @@ def with_defaults(jobs: DataFrame) -> DataFrame:
 
 
 def read_strings(spark: SparkSession, path: str, missing_ok: bool = True) -> DataFrame:
-    """A JSON array of strings, one row each; other values are dropped."""
+    """A JSON array of strings, one row each; other values are dropped, and so is a file that is no array.
+
+    A missing file gives no rows with ``missing_ok``; without it that is an error.
+    """
     try:
         raw = spark.read.text(path, wholetext=True)
-    except Exception:
+    except AnalysisException:
         if not missing_ok:
             raise
         return spark.createDataFrame([], "value string")
-    items = F.explode(F.from_json("value", "array<string>"))
-    return raw.select(items.alias("value")).filter("value is not null")
+    items = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
+    texts = raw.select(F.explode(items).alias("v")).filter(F.schema_of_variant("v") == "STRING")
+    return texts.select(F.try_variant_get("v", "$", "string").alias("value"))
 
 
 def read_captures(spark: SparkSession, path: str) -> DataFrame:

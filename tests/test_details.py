@@ -155,3 +155,12 @@ def test_run_reports(spark):
     assert {tuple(r) for r in runs.silent_sources(scraped, "s", F.col("n"), F.col("run")).collect()} == {("a", 2)}
     blank = spark.createDataFrame([(1, "p"), (2, "p"), (3, ""), (4, "")], "id int, path string")
     assert dedup.keep_first(blank, [F.col("path")], F.col("id")).count() >= 2
+
+
+def test_string_lists(spark, tmp_path):
+    (tmp_path / "a.json").write_text('["https://a.example", 7, null, {"x": 1}, "b", "7"]')
+    (tmp_path / "bad.json").write_text('{"no": ["array"]} and more')
+    assert [r.value for r in readers.read_strings(spark, str(tmp_path / "a.json")).collect()] == ["https://a.example", "b", "7"]
+    assert readers.read_strings(spark, str(tmp_path / "bad.json")).count() == 0 and readers.read_strings(spark, str(tmp_path / "gone.json")).count() == 0
+    with pytest.raises(Exception, match="(?i)path"):
+        readers.read_strings(spark, str(tmp_path / "gone.json"), missing_ok=False).count()
